@@ -390,7 +390,7 @@ _ORACLES: dict[str, str] = {
       SELECT pair.l AS "left", pair.r AS "right", sum(n)::BIGINT AS n FROM p GROUP BY 1, 2""",
     "bpe_train": f"""{TRAINED} SELECT (step - 1)::BIGINT AS rank,
         string_split(word, chr(2))[1] AS "left", string_split(word, chr(2))[2] AS "right",
-        replace(word, chr(2), '') AS merged, n FROM t WHERE kind = 'm'""",
+        replace(word, chr(2), '') AS merged FROM t WHERE kind = 'm'""",
     "vocab_layout": f"{TRAINED} SELECT id::BIGINT AS id, token, special FROM vocab",
     "vocab_sizes": f"""{TRAINED} SELECT stage, (count(*) + extra)::BIGINT AS n_tokens,
         sum((NOT special)::INT)::BIGINT AS n_plain

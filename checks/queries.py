@@ -365,7 +365,7 @@ def bpe_pair_counts(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def bpe_train(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.learn_merges(_words(spark, folder), SETTINGS).select(
-        _long("rank"), "left", "right", "merged", "n"
+        _long("rank"), "left", "right", "merged"
     )
 
 

@@ -72,8 +72,14 @@ def symbol_ids(symbols: Column) -> Column:
     return F.when(symbols == "", empty).otherwise(F.transform(F.split(symbols, ""), to_id))
 
 
-def symbol_pairs(symbols: Column) -> Column:
+# Ids that have a character of one UTF-16 unit.
+NARROW_IDS = 0x10000 - _SURROGATE_COUNT - _OFFSET
+
+
+def symbol_pairs(symbols: Column, vocab_size: int) -> Column:
     """Neighbouring symbols as two-character strings."""
+    if vocab_size <= NARROW_IDS:
+        return F.regexp_extract_all(symbols, F.lit("(?s)(?=(..))"), F.lit(1))
     characters = F.split(symbols, "")
     inner = F.greatest(F.size(characters) - 1, F.lit(0))
     return F.zip_with(
@@ -83,10 +89,20 @@ def symbol_pairs(symbols: Column) -> Column:
     )
 
 
+# Replacements chained in generated code; longer chains would make its methods too large.
+# A short list is filled up, so that every round runs the code compiled for the first.
+_CHAINED_MERGES = 24
+_NO_MERGE = ("  ", " ")
+
+
 def apply_merges(symbols: Column, merges: list[tuple[str, str]]) -> Column:
     """Replace pairs by their merged symbol, in the order of the list."""
     if not merges:
         return symbols
+    if len(merges) <= _CHAINED_MERGES:
+        for pair, merged in merges + [_NO_MERGE] * (_CHAINED_MERGES - len(merges)):
+            symbols = F.replace(symbols, F.lit(pair), F.lit(merged))
+        return symbols
     # Symbols are never blanks, so blanks can part the entries of one literal.
     packed = F.split(F.lit(" ".join(pair + merged for pair, merged in merges)), " ")
     return F.aggregate(

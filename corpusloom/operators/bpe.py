@@ -20,38 +20,36 @@ from corpusloom.operators.vocabulary import vocab_from_merges
 from corpusloom.session import scratch_path
 from corpusloom.sources.tokenizer_store import Tokenizer
 
-_MERGE_SCHEMA = "rank INT, left STRING, right STRING, merged STRING, n BIGINT"
+_MERGE_SCHEMA = "rank INT, left STRING, right STRING, merged STRING"
 
 # Pairs looked at per round, and merges replayed before the words are written anew.
 _ROUND_PAIRS = 4096
-_PENDING_MERGES = 64
+_PENDING_MERGES = 20
 
 
 def _independent_prefix(
     pairs: list[tuple[str, int]], shown: dict[str, str], known: dict[str, str], room: int
-) -> list[tuple[str, str, int]]:
+) -> list[tuple[str, str]]:
     """The leading pairs whose merges cannot change each other's place in the order.
 
     Merging (a, b) lowers only pairs that end in a or begin with b, and any pair it creates
-    is at most as frequent as one of those, so pairs before the first such one keep their
-    counts. A pair of equal symbols, or one that spells a known token, ends the round.
+    comes after one of those in the order: it is no more frequent and has the larger id. So
+    pairs before the first such one keep their counts and places. A pair of equal symbols,
+    or one that spells a known token, ends the round.
     """
-    accepted: list[tuple[str, str, int]] = []
+    accepted: list[tuple[str, str]] = []
     lefts: set[str] = set()
     rights: set[str] = set()
-    for pair, count in pairs:
+    for pair, _ in pairs:
         left, right = pair
-        spelled = shown[left] + shown[right]
         if room <= 0 or left in rights or right in lefts:
             break
-        existing = known.get(spelled)
-        if existing is not None and accepted:
-            break
-        merged = existing or symbol(len(shown))
-        accepted.append((pair, merged, count))
-        if existing is not None:
-            break
+        spelled = shown[left] + shown[right]
+        if spelled in known:
+            return accepted or [(pair, known[spelled])]
+        merged = symbol(len(shown))
         shown[merged], known[spelled] = spelled, merged
+        accepted.append((pair, merged))
         lefts.add(left)
         rights.add(right)
         room -= 1
@@ -60,6 +58,22 @@ def _independent_prefix(
     return accepted
 
 
+def _leading_pairs(current: DataFrame, settings: Settings) -> list[tuple[str, int]]:
+    """The most frequent pairs, ties by their ids."""
+    rows = (
+        current.select(
+            F.explode(symbol_pairs(F.col("symbols"), settings.vocab_size)).alias("pair"), "n"
+        )
+        .groupBy("pair")
+        .agg(F.sum("n").alias("n"))
+        .filter(F.col("n") >= settings.min_frequency)
+        .orderBy(F.desc("n"), "pair")
+        .limit(_ROUND_PAIRS)
+        .collect()
+    )
+    return [(row["pair"], row["n"]) for row in rows]
+
+
 def _write_words(spark: SparkSession, words: DataFrame, slot: int, base: str) -> DataFrame:
     path = f"{base}/{slot % 2}"
     words.filter(F.length("symbols") > 1).write.mode("overwrite").parquet(path)
@@ -81,33 +95,23 @@ def learn_merges(words: DataFrame, settings: Settings = Settings()) -> DataFrame
 
     base = scratch_path(spark, "bpe-words")
     slot = 0
-    table = _write_words(
-        spark, words.select("n", byte_symbols(F.col("word")).alias("symbols")), slot, base
+    # Rounds are bound by computing, not by size: use every core, however small the table.
+    width = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
+    lettered = words.select("n", byte_symbols(F.col("word")).alias("symbols"))
+    table = _write_words(spark, lettered.repartition(width, "symbols"), slot, base)
     pending: list[tuple[str, str]] = []
-    rows: list[tuple[int, str, str, str, int]] = []
+    rows: list[tuple[int, str, str, str]] = []
     while len(shown) < settings.vocab_size:
         current = table.select("n", apply_merges(F.col("symbols"), pending).alias("symbols"))
-        leading = (
-            current.select(F.explode(symbol_pairs(F.col("symbols"))).alias("pair"), "n")
-            .groupBy("pair")
-            .agg(F.sum("n").alias("n"))
-            .filter(F.col("n") >= settings.min_frequency)
-            .orderBy(F.desc("n"), "pair")
-            .limit(_ROUND_PAIRS)
-            .collect()
-        )
-        accepted = _independent_prefix(
-            [(row["pair"], row["n"]) for row in leading],
-            shown,
-            known,
-            settings.vocab_size - len(shown),
-        )
-        if not accepted:
+        pairs = _leading_pairs(current, settings)
+        if not pairs:
             break
-        for pair, merged, count in accepted:
-            rows.append((len(rows), shown[pair[0]], shown[pair[1]], shown[merged], count))
-        pending += [(pair, merged) for pair, merged, _ in accepted]
+        accepted = _independent_prefix(pairs, shown, known, settings.vocab_size - len(shown))
+        for pair, merged in accepted:
+            rows.append((len(rows), shown[pair[0]], shown[pair[1]], shown[merged]))
+        pending += accepted
         if len(pending) >= _PENDING_MERGES:
             slot += 1
             current = table.select("n", apply_merges(F.col("symbols"), pending).alias("symbols"))
