@@ -61,11 +61,12 @@ def _dialogue(conversation: Column) -> Column:
 # Sources and sinks
 
 
-def _phase_texts(spark: SparkSession, folder: str) -> DataFrame:
+def _phase_texts(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
     """Both raw datasets with their phase, under one key."""
     pretrain = tables.scan(
         spark, tables.DatasetPaths(f"{folder}/documents.parquet", ""), False, "doc_id"
     )
+    pretrain = tables.spread(pretrain, "doc_id") if heavy else pretrain
     instruct = views.chat_texts(spark, folder)
     return pretrain.select(
         F.lit(tables.PRETRAIN).alias("phase"),
@@ -82,9 +83,9 @@ def _phase_texts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _prepared(spark: SparkSession, folder: str) -> DataFrame:
+def _prepared(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
     instruct = F.col("phase") == tables.INSTRUCT
-    return prepare.prepare(_phase_texts(spark, folder), "default", instruct, TOKENS)
+    return prepare.prepare(_phase_texts(spark, folder, heavy), "default", instruct, TOKENS)
 
 
 @_query
@@ -330,7 +331,8 @@ def format_line_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _words(spark: SparkSession, folder: str, *by: str) -> DataFrame:
-    return vocabulary.word_counts(views.raw_texts(spark, folder), *by)
+    corpus = tables.spread(views.raw_texts(spark, folder).select(*by, "text"))
+    return vocabulary.word_counts(corpus, *by)
 
 
 def _tokenizer(spark: SparkSession, folder: str) -> tokenizer_store.Tokenizer:
@@ -436,7 +438,7 @@ def _byte_encoded(spark: SparkSession, folder: str, instruct: bool) -> DataFrame
     ids = encoding.byte_special_ids(TOKENS, instruct)
     phase = tables.INSTRUCT if instruct else tables.PRETRAIN
     return (
-        _prepared(spark, folder)
+        _prepared(spark, folder, heavy=True)
         .filter(F.col("phase") == phase)
         .select("phase", "key", "segment", encoding.encode_bytes(F.col("text"), ids).alias("ids"))
     )
@@ -468,7 +470,7 @@ def encode_bytes(spark: SparkSession, folder: str) -> DataFrame:
 def encode_bpe(spark: SparkSession, folder: str) -> DataFrame:
     tokenizer = _tokenizer(spark, folder)
     vocab = vocabulary.configure_vocab(tokenizer.vocab, True, TOKENS)
-    encoded = encoding.encode(_prepared(spark, folder), vocab, tokenizer.merges)
+    encoded = encoding.encode(_prepared(spark, folder, heavy=True), vocab, tokenizer.merges)
     return encoded.select(
         "phase", "key", "segment", F.size("ids").cast("bigint").alias("n_ids"),
         _numbers("ids").alias("ids"),

@@ -59,17 +59,11 @@ def symbols_of(text: str) -> str:
     return "".join(_BYTE_SYMBOLS[b] for b in text.encode("utf-8"))
 
 
-def symbol_ids(symbols: Column) -> Column:
-    """The token ids of a symbol string."""
-
-    def to_id(character: Column) -> Column:
-        point = F.ascii(character)
-        return (
-            F.when(point < _SURROGATES, point).otherwise(point - _SURROGATE_COUNT) - _OFFSET
-        ).cast("int")
-
+def byte_ids(text: Column) -> Column:
+    """The token ids of the UTF-8 bytes of a text."""
     empty = F.array().cast("array<int>")
-    return F.when(symbols == "", empty).otherwise(F.transform(F.split(symbols, ""), to_id))
+    each = F.transform(F.split(byte_symbols(text), ""), lambda c: F.ascii(c) - _OFFSET)
+    return F.when(text == "", empty).otherwise(each)
 
 
 # Ids that have a character of one UTF-16 unit.

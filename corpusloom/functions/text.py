@@ -28,13 +28,22 @@ PRETOKEN_PATTERN = (
     rf"|[{SPACE_CLASS}]+(?![^{SPACE_CLASS}])|[{SPACE_CLASS}]+"
 )
 
-# The look-behind lets a run of blanks be tried once, from its first character only.
-_STRIP_PATTERN = rf"^[{STRIP_CLASS}]+|(?<![{STRIP_CLASS}])[{STRIP_CLASS}]+\z"
+
+def _class_members(body: str) -> str:
+    """The characters a class body of hex code points and ranges stands for."""
+    points = re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: chr(int(m.group(1), 16)), body)
+    ranges = re.findall(r"(.)-(.)|(.)", points, flags=re.DOTALL)
+    return "".join(
+        chr(c) for low, high, one in ranges for c in range(ord(low or one), ord(high or one) + 1)
+    )
+
+
+_STRIP_CHARACTERS = _class_members(STRIP_CLASS)
 
 
 def strip_unicode(text: Column) -> Column:
     """Remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(text, F.lit(_STRIP_PATTERN), F.lit(""))
+    return F.btrim(text, F.lit(_STRIP_CHARACTERS))
 
 
 def not_blank(text: Column) -> Column:

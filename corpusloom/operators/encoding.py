@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from corpusloom.config import Settings, SpecialTokens
 from corpusloom.functions.symbols import (
     SPECIAL_IDS,
+    byte_ids,
     byte_order,
-    byte_symbols,
     symbol,
     symbol_id,
-    symbol_ids,
     symbols_of,
 )
 from corpusloom.functions.text import literal_pattern, pretokenize_around
@@ -110,7 +109,7 @@ def encode_bytes(text: Column, special_ids: dict[str, int]) -> Column:
             F.split(text, pattern, -1),
             F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
             lambda segment, mark: F.concat(
-                symbol_ids(byte_symbols(segment)),
+                byte_ids(segment),
                 F.when(mark.isNull(), nothing).otherwise(F.array(F.element_at(ids, mark))),
             ),
         )
