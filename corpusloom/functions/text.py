@@ -96,9 +96,3 @@ def adjacent_pairs(symbols: Column) -> Column:
         F.slice(symbols, F.lit(2), inner),
         lambda left, right: F.struct(left.alias("left"), right.alias("right")),
     )
-
-
-def python_literal_pattern(tokens: Iterable[str]) -> str:
-    """The pattern of literal_pattern in Python's regex dialect."""
-    ordered = sorted(set(tokens), key=lambda t: (-len(t), t))
-    return "|".join(re.escape(t) for t in ordered)

@@ -189,7 +189,8 @@ def collate(
     lengths = cut.select(*keys, F.size("ids").alias("n_ids"))
     sized = pad_lengths(layout.join(lengths, keys), settings.pad_multiple)
     fill = F.col("pad_to") - F.col("n_ids")
-    rows = sized.join(cut.select(*keys, "ids"), keys).withColumns(
+    # Id arrays outgrow the planner's estimate, so this side is never broadcast.
+    rows = sized.join(cut.select(*keys, "ids").hint("merge"), keys).withColumns(
         {
             "input_ids": F.concat("ids", F.array_repeat(F.lit(ids.pad), fill)),
             "attention_mask": F.concat(

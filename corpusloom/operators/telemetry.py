@@ -214,27 +214,29 @@ def stop_points(
     The clock is read at steps that are multiples of check_every. stop_step is null where
     the budget lasted; remaining_minutes is measured at the last step of the run.
     """
-    closing = (
-        with_steps(metrics, shape)
-        .filter(F.col("closes"))
-        .groupBy("run_id", "step")
-        .agg(F.max("ts_us").alias("ts_us"))
+    stepped = with_steps(metrics, shape)
+    closing_us = F.when(F.col("closes"), F.col("ts_us"))
+    runs = stepped.groupBy("run_id").agg(
+        F.min("ts_us").alias("start_us"),
+        F.max(closing_us).alias("last_us"),
+        F.coalesce(F.max(F.when(F.col("closes"), F.col("step"))), F.lit(0)).alias("last_step"),
     )
-    elapsed = (F.col("ts_us") - F.col("start_us")) / 60_000_000.0
-    expired = (F.col("step") % check_every == 0) & (F.col("elapsed") >= budget_minutes)
-    # A hot run is split by the adaptive skew join, then aggregated in each task first.
-    return (
-        run_starts(metrics)
-        .join(closing, "run_id", "left")
-        .withColumn("elapsed", elapsed)
+    # Only the steps at which the clock is read meet the starts. The join is an inner one
+    # with the steps on its left, the form whose hot keys the adaptive skew join can split.
+    checks = stepped.filter(F.col("closes") & (F.col("step") % check_every == 0))
+    stopped = (
+        checks.select("run_id", "step", "ts_us")
+        .join(runs.select("run_id", "start_us"), "run_id")
+        .filter((F.col("ts_us") - F.col("start_us")) / 60_000_000.0 >= budget_minutes)
         .groupBy("run_id")
-        .agg(
-            F.min(F.when(expired, F.col("step"))).alias("stop_step"),
-            F.coalesce(F.max("step"), F.lit(0)).alias("last_step"),
-            F.greatest(
-                F.lit(0.0), F.lit(float(budget_minutes)) - F.coalesce(F.max("elapsed"), F.lit(0.0))
-            ).alias("remaining_minutes"),
-        )
+        .agg(F.min("step").alias("stop_step"))
+    )
+    used = (F.coalesce("last_us", "start_us") - F.col("start_us")) / 60_000_000.0
+    return runs.join(stopped, "run_id", "left").select(
+        "run_id",
+        "stop_step",
+        "last_step",
+        F.greatest(F.lit(0.0), F.lit(float(budget_minutes)) - used).alias("remaining_minutes"),
     )
 
 

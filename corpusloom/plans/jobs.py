@@ -36,6 +36,9 @@ from corpusloom.sources.tokenizer_store import (
     select_tokenizer_path,
 )
 
+# Micro-batches kept together in one output file.
+_FILE_BATCHES = 4096
+
 
 def is_instruct_ready(tokenizer: Tokenizer, has_template: bool, settings: Settings) -> bool:
     """Whether a tokenizer already has a chat template and all extra tokens."""
@@ -100,7 +103,8 @@ def batch_job(
     """Encode, lay out and collate the prepared texts; returns the written batches.
 
     Encoded texts are written once, as collation reads their lengths and then their ids.
-    Batches are written per epoch and rank.
+    Batches are written per epoch and rank, in blocks of consecutive batches, so the number
+    of files follows the data and not the number of tasks.
     """
     keys = list(keys)
     phase = INSTRUCT if instruct else PRETRAIN
@@ -121,5 +125,8 @@ def batch_job(
     encoded = spark.read.parquet(encoded_path)
     layout = training_layout(prepared.select(*keys), keys, epochs, settings)
     batches = collate(encoded, layout, keys, ids, settings, instruct)
-    batches.write.mode("overwrite").partitionBy("epoch", "rank").parquet(target)
+    block = F.expr(f"batch_no div {_FILE_BATCHES}")
+    batches.repartition("epoch", "rank", block).sortWithinPartitions(
+        "epoch", "rank", "batch_no", "pos"
+    ).write.mode("overwrite").partitionBy("epoch", "rank").parquet(target)
     return spark.read.parquet(target)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.config import SpecialTokens
 from corpusloom.operators.positions import ordinals
+from corpusloom.session import scratch_path
 
 # Turns joined into one text. A longer conversation becomes several texts, so that no
 # conversation, however long, has to fit into one row. Even, so that roles keep their parity.
@@ -98,7 +99,10 @@ def conversations(
 
 
 def metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as a metrics log: one run per user, one micro-batch per event, in time order."""
+    """Events as a metrics log: one run per user, one micro-batch per event, in time order.
+
+    The log is written once as a table, as the loop of a training run would have done.
+    """
     loss = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value"))
     log = table(spark, folder, "events").select(
         F.col("user_id").alias("run_id"),
@@ -106,9 +110,11 @@ def metrics(spark: SparkSession, folder: str) -> DataFrame:
         "event_id",
         loss.alias("loss"),
     )
-    return ordinals(log, ["ts_us", "event_id"], "micro", by=["run_id"]).select(
+    path = scratch_path(spark, "metrics")
+    ordinals(log, ["ts_us", "event_id"], "micro", by=["run_id"]).select(
         "run_id", "micro", "ts_us", "loss"
-    )
+    ).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def failure_log(spark: SparkSession, folder: str) -> DataFrame:
