@@ -54,14 +54,14 @@ def learned(spark, words, vocab_size):
     return [(r["left"], r["right"], r["merged"]) for r in rows]
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(4))
 def test_merges_equal_one_at_a_time(spark, seed):
     rng = random.Random(seed)
     letters = "abc" if seed % 2 else "abcdeé "
     words = {"".join(rng.choices(letters, k=rng.randint(1, 12))): rng.randint(1, 9) for _ in range(60)}
     words["a" * 37] = 3
-    got = learned(spark, list(words.items()), 261 + 60)
-    assert got == brute_force_merges(list(words.items()), 261 + 60)
+    got = learned(spark, list(words.items()), 261 + 40)
+    assert got == brute_force_merges(list(words.items()), 261 + 40)
 
 
 def test_merge_of_a_known_token_keeps_its_id(spark):
@@ -106,7 +106,7 @@ def texts(spark, data):
 def trained(spark):
     documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     counted = vocabulary.word_counts(documents.select("doc_id", "text"))
-    settings = Settings(vocab_size=261 + 150)
+    settings = Settings(vocab_size=261 + 100)
     return bpe.train_bpe(counted, settings)
 
 
@@ -117,7 +117,7 @@ def library(spark):
     peer = tokenizers.ByteLevelBPETokenizer()
     peer.train_from_iterator(
         [r["text"] for r in rows],
-        vocab_size=261 + 150,
+        vocab_size=261 + 100,
         min_frequency=2,
         special_tokens=list(TOKENS.trained),
         show_progress=False,
