@@ -27,10 +27,16 @@ def strip_wrap(text: Column, tokens: SpecialTokens) -> Column:
 
 
 def json_content(text: Column, tokens: SpecialTokens) -> Column:
-    """Wrap the string under "content" of a JSON object; anything else fails."""
-    content = F.try_variant_get(F.try_parse_json(text), "$.content", "variant")
-    as_string = F.try_variant_get(content, "$", "string")
-    return F.when(F.schema_of_variant(content) == "STRING", wrap(as_string, tokens))
+    """Wrap the string under "content" of a JSON object; anything else fails.
+
+    The parser reads one value and leaves what follows it. Inside an object as well as
+    inside an array, nothing can follow the value unnoticed.
+    """
+    inside = F.try_parse_json(F.concat(F.lit('{"value":'), text, F.lit("}")))
+    single = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull()
+    content = F.try_variant_get(inside, "$.value.content", "variant")
+    is_string = F.schema_of_variant(content) == "STRING"
+    return F.when(single & is_string, wrap(F.try_variant_get(content, "$", "string"), tokens))
 
 
 def chat_or_wrap(text: Column, instruct: Column, tokens: SpecialTokens) -> Column:

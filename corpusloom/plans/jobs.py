@@ -14,7 +14,7 @@ from corpusloom.config import Settings
 from corpusloom.operators.bpe import train_bpe
 from corpusloom.operators.encoding import CollateIds, collate, encode
 from corpusloom.operators.layout import training_layout
-from corpusloom.operators.prepare import Processor, prepare
+from corpusloom.operators.prepare import Processor, empty_batches, prepare, quarantine
 from corpusloom.operators.vocabulary import configure_vocab, instruct_audit, word_counts
 from corpusloom.plans.steps import plan_summary, require_steps
 from corpusloom.session import scratch_path
@@ -82,11 +82,21 @@ def prepare_job(
     instruct: bool = False,
     keys: Sequence[str] = ("doc_id",),
     processor: str | Processor = "default",
+    guard_batches: bool = False,
     settings: Settings = Settings(),
 ) -> None:
-    """Format the phase's dataset and write it: one stage from scan to write."""
+    """Format the phase's dataset and write it: one stage from scan to write.
+
+    With guard_batches the job fails first where a formatting batch, in key order, has no
+    row that survives. That is a second pass over the texts.
+    """
     phase = INSTRUCT if instruct else PRETRAIN
-    prepared = prepare(scan(spark, paths, instruct, *keys), processor, instruct, settings.tokens)
+    texts = scan(spark, paths, instruct, *keys)
+    if guard_batches:
+        checked = quarantine(texts, processor, instruct, settings.tokens)
+        survived = F.col("reject_reason").isNull()
+        empty_batches(checked, list(keys), settings.format_batch, survived, strict=True)
+    prepared = prepare(texts, processor, instruct, settings.tokens)
     write_prepared(prepared.withColumn("phase", F.lit(phase)), target)
 
 

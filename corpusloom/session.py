@@ -16,6 +16,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The last one of equal keys counts, as in Python's JSON reader.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Rows are whole texts of any length: keep the batches a Python task holds small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }

@@ -1,5 +1,7 @@
 """Golden rows of the text functions and processors."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +53,27 @@ def test_json_content(spark):
     assert got == ["<s>a</s>"] + [None] * 6 + ["<s>5</s>", None, "<s></s>"]
 
 
+def test_json_content_equals_python(spark):
+    values = [
+        '{"content":"a","content":"b"}', ' {"content":"a"} \n', '{"content":"a"} x',
+        '{"content":"a"}{"content":"b"}', '{"content":"a"},{"content":"b"}',
+        '{"content":"a"}],[{}', '{"content":"a"}},{"x":{}', '{"content":"a"},"value":{"content":"b"}',
+        '{"content":"a\tb"}', '{"content":"\\u00e9\\n"}', "{'content':'a'}", '{"content":"a",}',
+        '{"content":"a","x":01}', '{"content":"a","x":1e999}', '{"content":true}',
+        '{"content":["a"]}', '\ufeff{"content":"a"}', '{"a":{"content":"x"}}', "", "[]", "{}",
+        '{"content":"\\ud83d\\ude00"}', '{"content":"2020-01-01"}', '{"content":"a" /*c*/}',
+    ]
+
+    def in_python(value):
+        try:
+            return "<s>" + json.loads(value)["content"] + "</s>"
+        except Exception:
+            return None
+
+    got = column(spark, values, lambda c: formats.json_content(c, TOKENS))
+    assert got == [in_python(v) for v in values]
+
+
 @pytest.mark.parametrize(
     "value, expected",
     [

@@ -132,6 +132,18 @@ def test_jobs_end_to_end(spark, data, tmp_path):
     assert [grown[t] for t in TOKENS.extra] == [300, 301, 302]
 
 
+def test_prepare_job_can_refuse_an_empty_batch(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame(
+        [(i, " " if i < 100 else "a") for i in range(150)], "doc_id BIGINT, text STRING"
+    ).write.parquet(source)
+    where = tables.DatasetPaths(source, source)
+    with pytest.raises(ValueError):
+        jobs.prepare_job(spark, where, target, guard_batches=True)
+    jobs.prepare_job(spark, where, target)
+    assert tables.read_prepared(spark, target).count() == 50
+
+
 def test_a_cluster_must_name_its_checkpoint_folder():
     class Context:
         master = "spark://host"
