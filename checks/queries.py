@@ -336,7 +336,10 @@ def _words(spark: SparkSession, folder: str, *by: str) -> DataFrame:
 
 
 def _tokenizer(spark: SparkSession, folder: str) -> tokenizer_store.Tokenizer:
-    return bpe.train_bpe(_words(spark, folder), SETTINGS)
+    # Training and the encoding of the words each read the counts.
+    path = scratch_path(spark, "word-counts")
+    _words(spark, folder).write.parquet(path)
+    return bpe.train_bpe(spark.read.parquet(path), SETTINGS)
 
 
 @_query
