@@ -20,6 +20,7 @@ SESSION_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Rows are whole texts of any length: keep the batches a Python task holds small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
