@@ -113,12 +113,30 @@ def shallow_tree(
 
 
 def _grid_tree(gradient: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """A tree of depth two on a grid: one cut over the rows, then one over either side."""
-    _, at = _best_cut(gradient.sum(1), weight.sum(1), ridge)
+    """A tree of depth two on a grid: one cut over the rows, then one over either side.
+
+    The first cut is the one whose two second cuts gain most, so that pairs are found which
+    neither feature shows alone.
+    """
+    rows_g, rows_h = np.cumsum(gradient, axis=0), np.cumsum(weight, axis=0)
+
+    def halves(at: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+        top_g, top_h = rows_g[at - 1], rows_h[at - 1]
+        return [
+            (0, at, top_g, top_h),
+            (at, len(gradient), rows_g[-1] - top_g, rows_h[-1] - top_h),
+        ]
+
+    def worth(at: int) -> float:
+        return sum(
+            _best_cut(g, h, ridge)[0] + g.sum() ** 2 / (h.sum() + ridge) for _, _, g, h in halves(at)
+        )
+
     out = np.zeros_like(gradient)
-    for a, b in ((0, at), (at, len(gradient))):
-        if a < b:
-            out[a:b] = shallow_tree(gradient[a:b].sum(0), weight[a:b].sum(0), 2, ridge)
+    if len(gradient) < 2:
+        return out + shallow_tree(rows_g[-1], rows_h[-1], 2, ridge)
+    for a, b, g, h in halves(max(range(1, len(gradient)), key=worth)):
+        out[a:b] = shallow_tree(g, h, 2, ridge)
     return out
 
 

@@ -8,8 +8,9 @@ budgets leave equal (32 bits in all, 20 keys a fingerprint). The chain is then c
 by budget, and only what survives gets the full comparison.
 
 A key that many fingerprints share is cut again by the same principle over the 32 bits it leaves
-open, which bounds a group to the 2^16 values that the rest can take. Within a group only the
-links of a spanning forest are written, never all pairs; no link is lost to components.
+open, which bounds a group to the 2^16 values that the rest can take. Within a group links are
+followed to components, and each member is written once, beside the first member of its
+component there; never all pairs are written, and no link is lost to components.
 
 Defined results: a null, empty or blank text has fingerprint zero and links like any other;
 texts of one or two words hash their whole sequence; repeated rows and equal texts share one
@@ -237,7 +238,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_links(prints: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Links (a, b) between distinct fingerprints that connect all that lie close together."""
+    """Pairs (a, b) of fingerprints that links join, enough to connect all that are linked."""
     distinct = prints.select("fp").distinct()
     keys = stored(distinct.mapInArrow(_keyed, "key long, fp long"), "simhash-keys")
     counts = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")

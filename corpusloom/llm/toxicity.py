@@ -1,11 +1,12 @@
 """Toxicity scores by a factorization machine over hashed terms.
 
-Terms are a text's distinct lower-cased words and their beginnings of four to six letters, hashed
-into buckets; presence counts, not frequency, so that a few words weigh alike in long and short
-texts. Every bucket has a linear weight and a latent vector, whose products add weight to pairs
-of terms that no single weight has.
+Terms are a text's distinct lower-cased words and their beginnings of four to eight letters,
+hashed into buckets. A beginning counts by how many distinct words share it: one, two, or three
+and more are three terms. Presence counts, not frequency, so that a few words weigh alike in
+long and short texts. Every term has a linear weight and a latent vector, whose products add
+weight to pairs of terms that no single weight has.
 
-Buckets are screened first: only those whose presence goes with the label, by a chi-squared
+Terms are screened first: only those whose presence goes with the label, by a chi-squared
 statistic over the sample, take part; the statistic is summed by Spark over the sample's terms.
 
 Fitting takes a bounded sample (`FIT_ROWS`), scoring covers every row and whole texts. Defined
@@ -29,14 +30,14 @@ from pyspark.sql import functions as F
 from corpusloom.llm.chunks import Memory
 from corpusloom.llm.shared import labelled_sample, stored, worker_store
 
-#: Labelled documents that a model is fitted to, and buckets that take part, at most.
-FIT_ROWS = 8_000
-FIT_TERMS = 20_000
-BUCKET_BITS = 20
-PREFIXES = (4, 5, 6)
-#: A bucket takes part from this chi-squared statistic and so many documents on.
-LEAST_CHI2 = 10.0
-LEAST_DOCS = 2
+#: Labelled documents that a model is fitted to, and terms that take part, at most.
+FIT_ROWS = 12_000
+FIT_TERMS = 1_000
+BUCKET_BITS = 22
+PREFIXES = (4, 5, 6, 7, 8)
+#: A term takes part from this chi-squared statistic and so many documents on.
+LEAST_CHI2 = 20.0
+LEAST_DOCS = 3
 
 _WORDS = re.compile(r"[^\W_]+").findall
 
@@ -45,17 +46,24 @@ def words(text: str | None) -> set[str]:
     return set(_WORDS(text.lower())) if text else set()
 
 
-def buckets(word: str) -> list[int]:
-    """The hashed terms of one word: itself and its beginnings."""
+def buckets(word: str) -> bytes:
+    """The hashed buckets of one word, itself and its beginnings, as packed numbers."""
     mask = (1 << BUCKET_BITS) - 1
     data = [b"=" + word.encode()]
     data += [b"^" + word[:n].encode() for n in PREFIXES if len(word) >= n]
-    return [crc32(x) & mask for x in data]
+    return np.array([crc32(x) & mask for x in data], dtype="<i4").tobytes()
+
+
+def terms(packed: bytes) -> np.ndarray:
+    """The terms of a text from the buckets of its words: a bucket and how often it is met."""
+    bucket, n = np.unique(np.frombuffer(packed, "<i4"), return_counts=True)
+    levels = [4 * bucket[n >= level].astype(np.int64) + level for level in (1, 2, 3)]
+    return np.sort(np.concatenate(levels))
 
 
 @dataclass(frozen=True)
 class FactorizationMachine:
-    """Weights of the chosen buckets (ascending), and one latent vector for each."""
+    """Weights of the chosen terms (ascending), and one latent vector for each."""
 
     terms: np.ndarray
     bias: float
@@ -67,39 +75,39 @@ class FactorizationMachine:
         parts = (self.terms, self.linear, self.latent)
         return hashlib.sha256(b"".join(x.tobytes() for x in parts)).hexdigest()
 
-    def places(self, word: str) -> bytes:
-        """The chosen buckets of a word, as packed indices."""
-        found = np.array(buckets(word), dtype=np.int64)
-        at = np.searchsorted(self.terms, found)
-        at[at == len(self.terms)] = 0
-        hit = self.terms[at] == found if len(self.terms) else np.zeros(len(found), bool)
-        return at[hit].astype("<i4").tobytes()
+    def active(self, packed: bytes) -> np.ndarray:
+        """The places of a text's terms among the chosen ones."""
+        found = terms(packed)
+        return np.flatnonzero(np.isin(self.terms, found, assume_unique=True))
 
-    def score(self, active: np.ndarray) -> float:
-        """The probability of the label for a set of active terms."""
+    def margin(self, active: np.ndarray) -> float:
         rows = self.latent[active]
         total = rows.sum(axis=0)
-        margin = self.bias + self.linear[active].sum() + 0.5 * (total @ total - (rows * rows).sum())
-        return float(1.0 / (1.0 + np.exp(-np.clip(margin, -30, 30))))
+        pairs = 0.5 * (total @ total - (rows * rows).sum())
+        return float(self.bias + self.linear[active].sum() + pairs)
+
+    def score(self, active: np.ndarray) -> float:
+        """The probability of the label for a set of active terms."""
+        return float(1.0 / (1.0 + np.exp(-np.clip(self.margin(active), -30, 30))))
 
 
 def fit_machine(
     docs: list[np.ndarray],
     y: np.ndarray,
-    terms: np.ndarray,
+    chosen: np.ndarray,
     factors: int = 4,
-    steps: int = 200,
+    steps: int = 120,
     rate: float = 0.1,
-    ridge: float = 1e-4,
+    ridge: float = 2e-5,
 ) -> FactorizationMachine:
     """Fit by full-batch Adam on the log loss; docs hold the active terms of each document."""
-    n_terms = len(terms)
+    n_terms = len(chosen)
     share = (y.sum() + 1.0) / (len(y) + 2.0)
     bias = float(np.log(share / (1 - share)))
     latent = np.random.default_rng(0).normal(0, 0.05, (n_terms, factors))
     linear = np.zeros(n_terms)
     if not len(y) or not n_terms or y.min() == y.max():
-        return FactorizationMachine(terms, bias, linear, latent * 0)
+        return FactorizationMachine(chosen, bias, linear, latent * 0)
     term = np.concatenate(docs).astype(np.int64)
     row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
 
@@ -132,7 +140,7 @@ def fit_machine(
             moved.append(rate * mean / (np.sqrt(spread) + 1e-8))
         bias -= float(moved[0][0])
         linear, latent = linear - moved[1], latent - moved[2]
-    return FactorizationMachine(terms, bias, linear, latent)
+    return FactorizationMachine(chosen, bias, linear, latent)
 
 
 def train_toxicity(
@@ -142,12 +150,12 @@ def train_toxicity(
     max_terms: int = FIT_TERMS,
     label: str = "toxic",
 ) -> FactorizationMachine:
-    """Screen the buckets, then fit to the labelled training documents."""
+    """Screen the terms, then fit to the labelled training documents."""
 
     @F.arrow_udf("array<int>")
     def hashed(texts: pa.Array) -> pa.Array:
-        rows = [sorted({b for w in words(t) for b in buckets(w)}) for t in texts.to_pylist()]
-        return pa.array(rows, pa.list_(pa.int32()))
+        packed = (b"".join(map(buckets, words(t))) for t in texts.to_pylist())
+        return pa.array([terms(x).astype(np.int32) for x in packed], pa.list_(pa.int32()))
 
     sample = stored(
         labelled_sample(documents, labels, label, limit).select(
@@ -173,35 +181,40 @@ def train_toxicity(
         .limit(max_terms)
         .select("term")
     )
-    terms = np.array(sorted(r["term"] for r in counts.collect()), dtype=np.int64)
-    chosen = set(terms.tolist())
+    chosen = np.array(sorted(r["term"] for r in counts.collect()), dtype=np.int64)
+    known = set(chosen.tolist())
 
     @F.arrow_udf("array<int>")
     def screened(lists: pa.Array) -> pa.Array:
-        rows = [[t for t in x or () if t in chosen] for x in lists.to_pylist()]
+        rows = [[t for t in x or () if t in known] for x in lists.to_pylist()]
         return pa.array(rows, pa.list_(pa.int32()))
 
     rows = sample.select("doc_id", "label", screened("terms").alias("terms")).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["terms"]))
-    docs = [np.searchsorted(terms, np.array(r["terms"], dtype=np.int64)) for r in rows]
-    return fit_machine(docs, np.array([r["label"] for r in rows], dtype=np.float64), terms)
+    docs = [np.searchsorted(chosen, np.array(r["terms"], dtype=np.int64)) for r in rows]
+    return fit_machine(docs, np.array([r["label"] for r in rows], dtype=np.float64), chosen)
 
 
 def toxicity_score(text: Column, model: FactorizationMachine) -> Column:
     """The probability of the label, a double between 0 and 1."""
 
+    relevant = np.unique(model.terms // 4).astype("<i4")
+
+    def relevant_buckets(word: str) -> bytes:
+        own = np.frombuffer(buckets(word), "<i4")
+        return own[np.isin(own, relevant)].tobytes()
+
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         store, key = worker_store(), ("toxicity", model.name)
         if key not in store:
-            store[key] = Memory(model.places)
+            store[key] = Memory(relevant_buckets)
         memory = store[key]
         none = model.score(np.zeros(0, dtype=np.int64))
         out = []
         for text in texts.to_pylist():
-            found = b"".join(map(memory.__getitem__, words(text)))
-            active = np.unique(np.frombuffer(found, "<i4")) if found else None
-            out.append(none if active is None else model.score(active))
+            packed = b"".join(map(memory.__getitem__, words(text)))
+            out.append(model.score(model.active(packed)) if packed else none)
         return pa.array(out, pa.float64())
 
     return score(text)
