@@ -11,8 +11,16 @@ from checks.queries import (
     SETTINGS,
     SHAPE,
 )
-from corpusloom.functions.text import SPACE_CLASS, STRIP_CLASS
-from corpusloom.sources.views import SEGMENT_TURNS
+
+# White space as a strip and as a Unicode regex knows it, as class bodies.
+STRIP_CLASS = (
+    r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+SPACE_CLASS = (
+    r"\x{09}-\x{0d}\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
 
 W, B, A, U = SETTINGS.world_size, SETTINGS.batch_size, SETTINGS.accumulation, SETTINGS.max_length
 MERGES = SETTINGS.vocab_size - 261
@@ -62,34 +70,35 @@ def _byte_ids(x: str) -> str:
 
 
 DIRTY = """dirty AS (
-  SELECT doc_id, lang, source, CASE
+  SELECT doc_id, lang, source, text FROM documents UNION ALL
+  SELECT -doc_id - 1, lang, source, CASE
     WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 11 = 1 THEN ''
-    WHEN doc_id % 11 = 2 OR doc_id BETWEEN 200 AND 299 THEN '   '
+    WHEN doc_id % 11 = 2 OR doc_id BETWEEN 200 AND 399 THEN '   '
     WHEN doc_id % 11 = 3 THEN chr(160) || chr(12288) || chr(9)
-    WHEN doc_id % 11 = 4 THEN chr(8203) ELSE text END AS text
-  FROM documents)"""
+    ELSE chr(8203) END
+  FROM documents WHERE doc_id % 11 <= 4 OR doc_id BETWEEN 200 AND 399)"""
 
 JSON = """js AS (
-  SELECT doc_id, lang, source, CASE doc_id % 5
+  SELECT doc_id, lang, source, json_object('content', text)::VARCHAR AS text FROM documents
+  UNION ALL SELECT -doc_id - 1, lang, source, CASE doc_id % 5
     WHEN 0 THEN '{' || text WHEN 1 THEN '{"content": 5}'
-    WHEN 2 THEN json_object('other', text)::VARCHAR WHEN 3 THEN '{"content": null}'
-    ELSE json_object('content', text)::VARCHAR END AS text
-  FROM documents)"""
+    WHEN 2 THEN json_object('other', text)::VARCHAR ELSE '{"content": null}' END
+  FROM documents WHERE doc_id % 5 <= 3)"""
 
-CHAT = f"""chat AS (
-  SELECT conv_id, turn // {SEGMENT_TURNS} AS segment, string_agg(
-    CASE role WHEN 'user' THEN '<|user|>' ELSE '<|bot|>' END || text || '<|end|>', '' ORDER BY turn
+CHAT = """chat AS (
+  SELECT conv_id, string_agg(
+    CASE role WHEN 'system' THEN text || chr(10) WHEN 'user' THEN '<|user|>' || text || '<|end|>'
+      ELSE '<|bot|>' || text || '<|end|>' END, '' ORDER BY turn
   ) AS text
-  FROM conversations WHERE role <> 'system' GROUP BY conv_id, turn // {SEGMENT_TURNS})"""
+  FROM conversations GROUP BY conv_id)"""
 
-CONV = f"""conv AS (
-  SELECT conv_id, turn // {SEGMENT_TURNS} AS segment,
-    list(struct_pack(role := role, content := text) ORDER BY turn) AS c
-  FROM conversations GROUP BY conv_id, turn // {SEGMENT_TURNS})"""
+CONV = """conv AS (
+  SELECT conv_id, list(struct_pack(role := role, content := text) ORDER BY turn) AS c
+  FROM conversations GROUP BY conv_id)"""
 
 PHASES = f"""{CHAT}, phases AS (
-  SELECT 'pretrain' AS phase, doc_id AS key, 0::BIGINT AS segment, text FROM documents
-  UNION ALL SELECT 'instruct', conv_id, segment, text FROM chat)"""
+  SELECT 'pretrain' AS phase, doc_id AS key, text FROM documents
+  UNION ALL SELECT 'instruct', conv_id, text FROM chat)"""
 
 
 def _parse(x: str) -> str:
@@ -119,7 +128,7 @@ def _valid(c: str) -> str:
 
 
 PARSED = f"""{PHASES}, prepared AS (
-  SELECT phase, key, segment, CASE WHEN phase = 'instruct' AND contains(text, '<|end|>')
+  SELECT phase, key, CASE WHEN phase = 'instruct' AND contains(text, '<|end|>')
     THEN {_render(_parse('text'))} ELSE '<s>' || text || '</s>' END AS text
   FROM phases WHERE {_not_blank('text')})"""
 
@@ -134,10 +143,10 @@ def _encoded(base: int) -> str:
     """Byte ids of prepared texts, cut around the special tokens."""
     special = _SPECIAL_ID % (base, base + 1, base + 2)
     return f"""{PARSED}, cut AS (
-      SELECT phase, key, segment, string_split_regex(text, '{_SPECIAL_PATTERN}') AS plain,
+      SELECT phase, key, string_split_regex(text, '{_SPECIAL_PATTERN}') AS plain,
         regexp_extract_all(text, '{_SPECIAL_PATTERN}') AS marks FROM prepared),
     encoded AS (
-      SELECT phase, key, segment, flatten(list_transform(range(1, len(plain) + 1), lambda i:
+      SELECT phase, key, flatten(list_transform(range(1, len(plain) + 1), lambda i:
         list_concat({_byte_ids('plain[i]')},
           list_transform(marks[i:i], lambda k: {special})))) AS ids
       FROM cut)"""
@@ -160,33 +169,33 @@ def _layout(source: str, keys: str) -> str:
 
 def _batches(phase: str) -> str:
     return f"""{ENCODED}, mine AS (
-      SELECT key, segment, ids[1:{U}] AS ids FROM encoded WHERE phase = '{phase}'),
-    {_layout('mine', 'key, segment')},
+      SELECT key, ids[1:{U}] AS ids FROM encoded WHERE phase = '{phase}'),
+    {_layout('mine', 'key')},
     sized AS (
-      SELECT key, segment, epoch, rank, batch_no, ids, len(ids) AS n_ids,
+      SELECT key, epoch, rank, batch_no, ids, len(ids) AS n_ids,
         ((max(len(ids)) OVER (PARTITION BY epoch, rank, batch_no) + 7) // 8 * 8) AS pad_to
-      FROM laid JOIN mine USING (key, segment)),
+      FROM laid JOIN mine USING (key)),
     padded AS (
       SELECT * EXCLUDE (ids), list_concat(ids, list_transform(range(pad_to - n_ids), lambda x: 1))
         AS input_ids FROM sized)"""
 
 
 LABELS = f"""{_batches('instruct')}, flat AS (
-      SELECT key, segment, epoch, rank, batch_no, n_ids, pad_to,
+      SELECT key, epoch, rank, batch_no, n_ids, pad_to,
         unnest(input_ids) AS id, generate_subscripts(input_ids, 1) AS j FROM padded),
     ended AS (
-      SELECT *, coalesce(sum((id = 263)::INT) OVER (PARTITION BY key, segment, epoch ORDER BY j
+      SELECT *, coalesce(sum((id = 263)::INT) OVER (PARTITION BY key, epoch ORDER BY j
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS piece FROM flat),
     labelled AS (
       SELECT *, CASE WHEN id <> 263 AND coalesce(max((id = 262)::INT) OVER (
-          PARTITION BY key, segment, epoch, piece ORDER BY j
+          PARTITION BY key, epoch, piece ORDER BY j
           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) = 1 THEN id ELSE -100 END AS label
       FROM ended),
     per_row AS (
-      SELECT key, segment, epoch, rank, batch_no, any_value(n_ids) AS n_ids,
+      SELECT key, epoch, rank, batch_no, any_value(n_ids) AS n_ids,
         any_value(pad_to) AS pad_to, sum((label <> -100)::INT)::BIGINT AS n_kept,
         string_agg(label::VARCHAR, ' ' ORDER BY j) AS labels
-      FROM labelled GROUP BY key, segment, epoch, rank, batch_no)"""
+      FROM labelled GROUP BY key, epoch, rank, batch_no)"""
 
 PLAN = f"""{PHASES}, plan AS (
       SELECT phase, n_examples, per_epoch, greatest(1, floor({SETTINGS.epochs} * per_epoch)::BIGINT)
@@ -264,19 +273,24 @@ STREAKS = f"""{METRICS}, streaks AS (
       SELECT run_id, min(micro) AS abort_micro, arg_min(streak, micro) AS streak
       FROM streaks WHERE streak >= {NONFINITE_LIMIT} GROUP BY run_id)"""
 
-LOSS = "CASE WHEN ok THEN loss::DECIMAL(18, 2) END"
+
+
+def _ordered_sum(value: str, place: str, where: str) -> str:
+    return f"list_reduce(list({value} ORDER BY {place}) FILTER ({where}), lambda a, b: a + b)"
+
 
 WINDOWS = f"""{STEPPED}, win AS (
       SELECT run_id, (step - 1) // {LOG} AS w, ((step - 1) // {LOG} + 1) * {LOG} AS step,
         max(CASE WHEN closes AND step % {LOG} = 0 THEN ts_us END) AS end_us,
-        count(CASE WHEN ok THEN 1 END) AS n_finite, sum({LOSS})::DOUBLE AS total
+        count(CASE WHEN ok THEN 1 END) AS n_finite, {_ordered_sum('loss', 'micro', 'ok')} AS total
       FROM st GROUP BY run_id, (step - 1) // {LOG}),
     emitted AS (
       SELECT *, total / n_finite AS mean_loss FROM win
       WHERE n_finite > 0 AND end_us IS NOT NULL)"""
 
 HISTORY = f"""{STEPPED}, history AS (
-      SELECT run_id, sha256('run-' || run_id) AS state_key,
+      SELECT run_id, CASE run_id % 14 WHEN 7 THEN 'custom-' || run_id ELSE sha256('run-' || run_id)
+          END AS state_key,
         CASE run_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 'run-other' ELSE 'run-' || run_id END
           AS stamped_owner,
         max(step) AS global_step, max(step) >= {TOTAL} AS completed, max(ts_us) AS updated_at
@@ -285,11 +299,24 @@ HISTORY = f"""{STEPPED}, history AS (
       SELECT * FROM history
       QUALIFY row_number() OVER (PARTITION BY state_key ORDER BY updated_at DESC) = 1)"""
 
-SUMMARY = f"""{STEPPED}, summary AS (
-      SELECT run_id, count(*) AS n_micro, count(CASE WHEN ok THEN 1 END) AS n_finite,
-        coalesce(max(CASE WHEN closes THEN step END), 0) AS global_step,
-        sum({LOSS})::DOUBLE AS total
-      FROM st GROUP BY run_id)"""
+RESUMED = f"""{PLAN}, {HISTORY}, runs AS (SELECT DISTINCT user_id AS run_id FROM events),
+    resumed AS (
+      SELECT runs.run_id AS run_id, coalesce(global_step, 0)::BIGINT AS global_step,
+        CASE runs.run_id % 2 WHEN 1 THEN 'instruct' ELSE 'pretrain' END AS phase
+      FROM runs LEFT JOIN latest ON runs.run_id = latest.run_id
+      WHERE latest.run_id IS NULL OR runs.run_id % 14 = 7
+        OR stamped_owner = 'run-' || runs.run_id)"""
+
+SUMMARY = f"""{STEPPED}, blocks AS (
+      SELECT run_id, micro // 1024 AS block, count(*) AS n_micro,
+        count(CASE WHEN ok THEN 1 END) AS n_finite, max(CASE WHEN closes THEN step END) AS last_step,
+        {_ordered_sum('loss', 'micro', 'ok')} AS part
+      FROM st GROUP BY run_id, micro // 1024),
+    summary AS (
+      SELECT run_id, sum(n_micro)::BIGINT AS n_micro, sum(n_finite)::BIGINT AS n_finite,
+        coalesce(max(last_step), 0) AS global_step,
+        {_ordered_sum('part', 'block', 'part IS NOT NULL')} AS total
+      FROM blocks GROUP BY run_id)"""
 
 STOPS = f"""{STEPPED}, starts AS (SELECT run_id, min(ts_us) AS start_us FROM m GROUP BY run_id),
     stops AS (
@@ -307,10 +334,10 @@ STOPS = f"""{STEPPED}, starts AS (SELECT run_id, min(ts_us) AS start_us FROM m G
       SELECT *, NOT stopped_early AND final_step >= {TOTAL} AS completed FROM verdicts)"""
 
 _ORACLES: dict[str, str] = {
-    "scan_phase": f"WITH {PHASES} SELECT phase, key, segment, text FROM phases",
+    "scan_phase": f"WITH {PHASES} SELECT phase, key, text FROM phases",
     "stream_prepare": f"SELECT doc_id, '<s>' || {_strip('text')} || '</s>' AS text FROM documents"
     f" WHERE {_not_blank('text')}",
-    "prepare_roundtrip": f"WITH {PARSED} SELECT phase, key, segment, text FROM prepared",
+    "prepare_roundtrip": f"WITH {PARSED} SELECT phase, key, text FROM prepared",
     "prepared_report": f"WITH {DIRTY} SELECT source, lang, count(*) AS n_examples,"
     " sum(length(text) + 7)::BIGINT AS n_chars, max(length(text) + 7) AS longest"
     f" FROM dirty WHERE {_not_blank('text')} GROUP BY source, lang",
@@ -319,8 +346,8 @@ _ORACLES: dict[str, str] = {
     " stamped_owner, global_step, completed, updated_at FROM latest",
     "run_state_guard": f"""WITH {HISTORY}, ids AS (
         SELECT user_id AS id FROM events UNION SELECT c_custkey FROM customer),
-      expected AS (SELECT 'run-' || id AS owner, sha256('run-' || id) AS state_key,
-        id % 14 = 7 AS custom FROM ids)
+      expected AS (SELECT 'run-' || id AS owner, CASE id % 14 WHEN 7 THEN 'custom-' || id
+          ELSE sha256('run-' || id) END AS state_key, id % 14 = 7 AS custom FROM ids)
       SELECT owner, CASE WHEN latest.state_key IS NULL THEN 'new'
           WHEN custom OR stamped_owner = owner THEN 'ours'
           WHEN stamped_owner IS NULL THEN 'missing' ELSE 'foreign' END AS verdict,
@@ -331,14 +358,21 @@ _ORACLES: dict[str, str] = {
       SELECT state_key, global_step FROM latest JOIN summed USING (run_id)
       WHERE NOT (run_id % 2 = 1 AND s >= {TOTAL} AND run_id % 3 <> 0)""",
     "filter_blank": f"WITH {DIRTY} SELECT doc_id, text FROM dirty WHERE {_not_blank('text')}",
-    "drop_null_results": f"""WITH {JSON} SELECT doc_id, CASE WHEN doc_id % 5 = 1 THEN ''
+    "drop_null_results": f"""WITH {JSON} SELECT doc_id, CASE WHEN doc_id < 0 THEN ''
         ELSE '<s>' || json_extract_string(text, '$.content') || '</s>' END AS result
-      FROM js WHERE doc_id % 5 IN (1, 4) AND json_valid(text)""",
-    "quarantine_counts": f"""WITH {DIRTY}, {JSON} SELECT outcome, lang, count(*) AS n FROM (
-        SELECT lang, CASE WHEN json_valid(text) AND json_type(text, '$.content') = 'VARCHAR'
-          THEN 'ok' ELSE 'error' END AS outcome FROM js
-        UNION ALL SELECT lang, CASE WHEN coalesce({_not_blank('text')}, false)
-          THEN 'error' ELSE 'blank' END FROM dirty) GROUP BY outcome, lang""",
+      FROM js WHERE doc_id >= 0 OR (-doc_id - 1) % 5 = 1""",
+    "quarantine_counts": f"""WITH {DIRTY}, {JSON}, everything AS (
+        SELECT doc_id, lang, text, false AS plain FROM js
+        UNION ALL SELECT doc_id, lang, text, true FROM dirty),
+      read AS (
+        SELECT lang, coalesce({_not_blank('text')}, false) AS filled, CASE
+          WHEN plain OR NOT coalesce(json_valid(text), false) THEN false
+          ELSE coalesce(json_type(text, '$.content') = 'VARCHAR', false) END AS good
+        FROM everything)
+      SELECT processor, CASE WHEN NOT filled THEN 'blank' WHEN good THEN 'ok'
+          WHEN processor = 'sql' THEN 'null_result' ELSE 'error' END AS outcome,
+        lang, count(*) AS n
+      FROM read, (VALUES ('native'), ('sql'), ('python')) AS p(processor) GROUP BY ALL""",
     "empty_batches": f"""WITH {DIRTY}, numbered AS (
         SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS batch_no,
           coalesce({_not_blank('text')}, false) AS ok FROM dirty)
@@ -356,16 +390,16 @@ _ORACLES: dict[str, str] = {
       FROM (SELECT * FROM js WHERE json_valid(text))
       WHERE json_type(text, '$.content') = 'VARCHAR'""",
     "split_parts": f"""WITH {CHAT}, p AS (
-        SELECT conv_id, segment, string_split(text, '<|end|>') AS parts FROM chat)
-      SELECT conv_id, segment, generate_subscripts(parts, 1) - 1 AS part_no,
+        SELECT conv_id, string_split(text, '<|end|>') AS parts FROM chat)
+      SELECT conv_id, generate_subscripts(parts, 1) - 1 AS part_no,
         unnest(parts) AS part FROM p""",
-    "parse_conversation": f"""WITH {CHAT} SELECT conv_id, segment, array_to_string(list_transform(
+    "parse_conversation": f"""WITH {CHAT} SELECT conv_id, array_to_string(list_transform(
         {_parse('text')}, lambda m: m.role || chr(2) || m.content), chr(3)) AS dialogue FROM chat""",
-    "render_chat": f"WITH {CONV} SELECT conv_id, segment, {_render('c')} AS prompt FROM conv"
+    "render_chat": f"WITH {CONV} SELECT conv_id, {_render('c')} AS prompt FROM conv"
     f" WHERE {_valid('c')}",
     "chat_role_audit": f"""WITH {CONV} SELECT conv_id, sum(len(c))::BIGINT AS n_messages,
         bool_and({_valid('c')}) AS valid FROM conv GROUP BY conv_id""",
-    "format_instruct": f"""WITH {PHASES} SELECT phase, key, segment,
+    "format_instruct": f"""WITH {PHASES} SELECT phase, key,
         CASE WHEN contains(text, '<|end|>') THEN {_render(_parse('text'))}
           ELSE '<s>' || text || '</s>' END AS text
       FROM phases WHERE {_not_blank('text')}""",
@@ -401,45 +435,51 @@ _ORACLES: dict[str, str] = {
       FROM (VALUES (1, '<|user|>'), (2, '<|bot|>'), (3, '<|end|>')) AS x(ord, token)""",
     "token_ids": f"""{TRAINED} SELECT name, token, ((SELECT max(id) FROM vocab) + ord)::BIGINT AS id
       FROM (VALUES ('user', 1, '<|user|>'), ('assistant', 2, '<|bot|>'), ('bot', 2, '<|bot|>'),
-        ('end', 3, '<|end|>')) AS x(name, ord, token)""",
-    "instruct_audit": """WITH names AS (
-        SELECT DISTINCT source AS tokenizer, regexp_extract(source, '[0-9]+')::INT AS k
-        FROM documents)
-      SELECT tokenizer, k % 4 < 2 AS has_template, k % 2 = 0 AS has_tokens,
-        k % 4 < 2 AND k % 2 = 0 AS ready,
-        CASE WHEN k % 4 < 2 AND k % 2 = 0 THEN 'ready' WHEN k % 4 < 2 THEN 'template without tokens'
-          WHEN k % 2 = 0 THEN 'tokens without template' ELSE 'not configured' END AS outcome
+        ('end', 3, '<|end|>')) AS x(name, ord, token)
+      UNION ALL SELECT word, word, id::BIGINT FROM word_ids JOIN vocab ON token = word
+      WHERE n > 0 AND regexp_full_match(word, '[A-Za-z]+')""",
+    "instruct_audit": f"""WITH words AS (
+        SELECT DISTINCT source, word FROM (
+          SELECT source, unnest({_words('text')}) AS word FROM documents)
+        WHERE word IN (' heitachte', ' inthe', ' para')),
+      names AS (
+        SELECT source AS tokenizer, regexp_extract(source, '[0-9]+')::INT % 4 < 2 AS t,
+          (SELECT count(*) FROM words WHERE words.source = d.source) = 3 AS w
+        FROM (SELECT DISTINCT source FROM documents) AS d)
+      SELECT tokenizer, t AS has_template, w AS has_tokens, t AND w AS ready,
+        CASE WHEN t AND w THEN 'ready' WHEN t THEN 'template without tokens'
+          WHEN w THEN 'tokens without template' ELSE 'not configured' END AS outcome
       FROM names""",
-    "encode_bytes": f"WITH {ENCODED} SELECT phase, key, segment,"
+    "encode_bytes": f"WITH {ENCODED} SELECT phase, key,"
     " array_to_string(ids, ' ') AS ids FROM encoded",
     "encode_bpe": f"""{TRAINED}, cut AS (
-        SELECT phase, key, segment, string_split_regex(text, '{_SPECIAL_PATTERN}') AS plain,
+        SELECT phase, key, string_split_regex(text, '{_SPECIAL_PATTERN}') AS plain,
           regexp_extract_all(text, '{_SPECIAL_PATTERN}') AS marks FROM prepared),
       listed AS (
-        SELECT phase, key, segment, flatten(list_transform(range(1, len(plain) + 1), lambda i:
+        SELECT phase, key, flatten(list_transform(range(1, len(plain) + 1), lambda i:
           list_concat({_words('plain[i]')}, marks[i:i]))) AS words FROM cut),
       placed AS (
-        SELECT phase, key, segment, unnest(words) AS word, generate_subscripts(words, 1) AS j
+        SELECT phase, key, unnest(words) AS word, generate_subscripts(words, 1) AS j
         FROM listed),
       mapping AS (
         SELECT word, ids FROM word_ids
         UNION ALL SELECT k, [{_SPECIAL_ID % (SETTINGS.vocab_size, SETTINGS.vocab_size + 1, SETTINGS.vocab_size + 2)}]
         FROM (SELECT unnest(['<s>', '<pad>', '</s>', '<unk>', '<mask>', '<|user|>', '<|bot|>',
           '<|end|>']) AS k))
-      SELECT phase, key, segment, sum(len(ids))::BIGINT AS n_ids,
+      SELECT phase, key, sum(len(ids))::BIGINT AS n_ids,
         string_agg(array_to_string(ids, ' '), ' ' ORDER BY j) AS ids
-      FROM placed JOIN mapping USING (word) GROUP BY phase, key, segment""",
+      FROM placed JOIN mapping USING (word) GROUP BY phase, key""",
     "word_tokens": f"{TRAINED} SELECT word, n, array_to_string(ids, ' ') AS ids FROM word_ids"
     " WHERE n > 0",
     "truncate_ids": f"""WITH {ENCODED} SELECT key, len(ids[1:{U}])::BIGINT AS n_ids,
         array_to_string(ids[1:{U}], ' ') AS ids FROM encoded WHERE phase = 'pretrain'""",
-    "pad_batches": f"""WITH {_batches('pretrain')} SELECT key, segment, epoch, rank, batch_no, n_ids,
+    "pad_batches": f"""WITH {_batches('pretrain')} SELECT key, epoch, rank, batch_no, n_ids,
         pad_to, md5(array_to_string(input_ids, ' ')) AS input_ids,
         md5(array_to_string(list_transform(range(pad_to), lambda x:
           CASE WHEN x < n_ids THEN 1 ELSE 0 END), ' ')) AS attention_mask FROM padded""",
-    "labels_pretrain": f"""WITH {_batches('pretrain')} SELECT key, segment, epoch, rank, batch_no,
+    "labels_pretrain": f"""WITH {_batches('pretrain')} SELECT key, epoch, rank, batch_no,
         md5(array_to_string(input_ids, ' ')) AS labels FROM padded""",
-    "mask_user_tokens": f"WITH {LABELS} SELECT key, segment, epoch, rank, batch_no, labels"
+    "mask_user_tokens": f"WITH {LABELS} SELECT key, epoch, rank, batch_no, labels"
     " FROM per_row",
     "supervision_stats": f"""WITH {LABELS} SELECT epoch, rank, batch_no, count(*) AS n_examples,
         sum(n_ids)::BIGINT AS n_tokens, sum(pad_to - n_ids)::BIGINT AS n_pads,
@@ -460,14 +500,14 @@ _ORACLES: dict[str, str] = {
         (step - 1) % per_epoch * {A} AS first_batch, (step - 1) % per_epoch * {A} + {A} - 1
           AS last_batch FROM steps""",
     "assign_steps": f"""WITH {PLAN}, s AS (
-        SELECT phase, key, segment, epoch, row_number() OVER (PARTITION BY phase, epoch ORDER BY
-            md5(concat_ws('-', {SETTINGS.seed} + epoch, key, segment)), key, segment) - 1 AS p,
+        SELECT phase, key, epoch, row_number() OVER (PARTITION BY phase, epoch ORDER BY
+            md5(concat_ws('-', {SETTINGS.seed} + epoch, key)), key) - 1 AS p,
           count(*) OVER (PARTITION BY phase, epoch) AS n
         FROM phases, (SELECT unnest(range({EPOCHS})) AS epoch) WHERE {_not_blank('text')}),
       l AS (SELECT *, p % {W} AS rank, p // {W} // {B} AS batch_no FROM s WHERE p < n // {W} * {W}),
       x AS (SELECT l.*, epoch * per_epoch + batch_no // {A} + 1 AS step, total_steps
         FROM l JOIN plan USING (phase))
-      SELECT phase, key, segment, epoch, rank, batch_no, step, (batch_no + 1) % {A} = 0 AS closes
+      SELECT phase, key, epoch, rank, batch_no, step, (batch_no + 1) % {A} = 0 AS closes
       FROM x WHERE step <= total_steps""",
     "plan_guard": f"""WITH {DIRTY}, g AS (
         SELECT source || '/' || lang AS phase, count(*) AS n_examples,
@@ -475,12 +515,18 @@ _ORACLES: dict[str, str] = {
         FROM dirty WHERE {_not_blank('text')} GROUP BY 1)
       SELECT *, CASE WHEN n_batches = 0 THEN 'empty' WHEN n_batches < 2 THEN 'no_step' ELSE 'ok' END
         AS status FROM g""",
-    "resume_plan": f"""WITH {PLAN}, {SUMMARY}
+    "resume_plan": f"""WITH {RESUMED}
       SELECT 'run-' || run_id AS owner, plan.phase AS phase, global_step,
         global_step // per_epoch AS epoch, 0::BIGINT AS batch_no, global_step + 1 AS next_step,
         greatest(0, total_steps - global_step) AS steps_left
-      FROM summary JOIN plan ON plan.phase = CASE run_id % 2 WHEN 1 THEN 'instruct'
-        ELSE 'pretrain' END""",
+      FROM resumed JOIN plan ON plan.phase = resumed.phase""",
+    "remaining_steps": f"""WITH {RESUMED}, left_over AS (
+        SELECT run_id, plan.phase AS phase, per_epoch,
+          unnest(range(global_step + 1, total_steps + 1)) AS step
+        FROM resumed JOIN plan ON plan.phase = resumed.phase)
+      SELECT 'run-' || run_id AS owner, phase, step, (step - 1) // per_epoch AS epoch,
+        (step - 1) % per_epoch * {A} AS first_batch, (step - 1) % per_epoch * {A} + {A} - 1
+          AS last_batch FROM left_over""",
     "lr_plan": f"""WITH {STEPS}, r AS (SELECT phase, step, total_steps AS t,
           unnest([step - 1, step]) AS pos, unnest(['lr', 'next_lr']) AS name FROM steps),
       f AS (SELECT phase, step, name, CASE WHEN pos < 10 THEN pos / 10.0::DOUBLE ELSE greatest(0.0,
@@ -515,19 +561,25 @@ _ORACLES: dict[str, str] = {
         round(CASE WHEN elapsed > 0 THEN {LOG} / elapsed ELSE 0 END, 9) AS steps_per_second,
         round(CASE WHEN elapsed > 0 THEN {LOG} / elapsed ELSE 0 END * {W * B * A}, 9)
           AS samples_per_second FROM e""",
-    "metrics_report": f"""WITH {STEPPED}, scaled AS (
-        SELECT run_id, ((step - 1) // {LOG} + 1) * {LOG} AS step,
-          max(CASE WHEN closes AND step % {LOG} = 0 THEN 1 END) AS ended,
-          count(CASE WHEN ok THEN 1 END) AS n,
-          sum(CASE WHEN ok THEN (loss / 10000)::DECIMAL(38, 9) END)::DOUBLE AS total
+    "metrics_report": f"""WITH {WINDOWS}, scaled AS (
+        SELECT run_id, (step - 1) // {LOG} AS w,
+          {_ordered_sum('loss / 10000', 'micro', 'ok')} / count(CASE WHEN ok THEN 1 END) AS loss
         FROM st GROUP BY run_id, (step - 1) // {LOG}),
-      r AS (SELECT run_id, step, total / n AS loss, 3e-4::DOUBLE * greatest(0.0, 0.5 * (1.0 + cos(
-          pi() * step / {TOTAL}.0::DOUBLE))) AS lr
-        FROM scaled WHERE ended = 1 AND n > 0 AND step % {LOG * 2} = 0)
-      SELECT run_id, step, 'loss: ' || CASE WHEN loss <> 0 AND abs(loss) < 0.01
+      starts AS (SELECT run_id, min(ts_us) AS start_us FROM m GROUP BY run_id),
+      e AS (SELECT run_id, w, step, (end_us - coalesce(lag(end_us) OVER (
+          PARTITION BY run_id ORDER BY w), start_us)) / 1000000.0 AS elapsed
+        FROM emitted JOIN starts USING (run_id)),
+      r AS (SELECT run_id, step, loss,
+          CASE WHEN elapsed > 0 THEN {LOG} / elapsed ELSE 0 END AS speed,
+          3e-4::DOUBLE * greatest(0.0, 0.5 * (1.0 + cos(pi() * step / {TOTAL}.0::DOUBLE))) AS lr
+        FROM e JOIN scaled USING (run_id, w) WHERE step % {LOG * 2} = 0)
+      SELECT run_id, step, 'Step ' || step || '/{TOTAL}' || chr(10)
+        || 'loss: ' || CASE WHEN loss <> 0 AND abs(loss) < 0.01
           THEN printf('%.2e', loss) ELSE printf('%.4f', loss) END
         || ' | learning_rate: ' || CASE WHEN lr <> 0 AND abs(lr) < 0.01
-          THEN printf('%.2e', lr) ELSE printf('%.4f', lr) END || ' | step: ' || step AS report
+          THEN printf('%.2e', lr) ELSE printf('%.4f', lr) END || ' | step: ' || step || chr(10)
+        || 'Speed: ' || printf('%.2f', speed * {W * B * A}) || ' samples/s | '
+        || printf('%.2f', speed) || ' steps/s' AS report
       FROM r""",
     "run_summary": f"""WITH {SUMMARY} SELECT run_id, n_micro, n_finite, global_step,
         round(coalesce(total, 0) / greatest(1, global_step), 9) AS training_loss,

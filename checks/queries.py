@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,12 @@ SHAPE = telemetry.RunShape(
 )
 NONFINITE_LIMIT = 3
 BUDGET_MINUTES = 20_160.0
+JSON_SQL = (
+    "CASE WHEN schema_of_variant(try_variant_get(try_parse_json(text), '$.content', 'variant'))"
+    " = 'STRING' THEN concat(bos, try_variant_get(try_parse_json(text), '$.content', 'string'), eos)"
+    " ELSE cast(cast('x' || length(text) AS INT) AS STRING) END"
+)
+AUDIT_WORDS = (" heitachte", " inthe", " para")
 CUSTOM_SQL = "CASE WHEN contains(text, '\n') THEN concat(bos, replace(text, '\n', ' '), eos) END"
 
 _QUERIES: dict[str, Query] = {}
@@ -66,18 +73,17 @@ def _phase_texts(spark: SparkSession, folder: str, heavy: bool = False) -> DataF
     pretrain = tables.scan(
         spark, tables.DatasetPaths(f"{folder}/documents.parquet", ""), False, "doc_id"
     )
-    pretrain = tables.spread(pretrain, "doc_id") if heavy else pretrain
+    # Work per text outweighs its shuffle, and the given file is a single split.
+    pretrain = pretrain.repartition("doc_id") if heavy else pretrain
     instruct = views.chat_texts(spark, folder)
     return pretrain.select(
         F.lit(tables.PRETRAIN).alias("phase"),
         F.col("doc_id").alias("key"),
-        F.lit(0).cast("bigint").alias("segment"),
         "text",
     ).unionByName(
         instruct.select(
             F.lit(tables.INSTRUCT).alias("phase"),
             F.col("conv_id").alias("key"),
-            "segment",
             "text",
         )
     )
@@ -113,7 +119,7 @@ def stream_prepare(spark: SparkSession, folder: str) -> DataFrame:
 def prepare_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "prepared")
     tables.write_prepared(_prepared(spark, folder), path)
-    return tables.read_prepared(spark, path).select("phase", "key", "segment", "text")
+    return tables.read_prepared(spark, path).select("phase", "key", "text")
 
 
 @_query
@@ -130,27 +136,43 @@ def vocab_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.vocab.select(_long("id"), "token", "special")
 
 
+def _custom_key(number: Column) -> Column:
+    """The state key that some users chose."""
+    chosen = F.concat(F.lit("custom-"), number.cast("string"))
+    return F.when(number % 14 == 7, chosen)
+
+
 def _state_history(spark: SparkSession, folder: str) -> DataFrame:
-    """A state written at the end of every epoch of every run; some carry a wrong stamp."""
-    owner = F.concat(F.lit("run-"), F.col("run_id").cast("string"))
-    stamp = (
-        F.when(F.col("run_id") % 7 == 0, F.lit(None).cast("string"))
-        .when(F.col("run_id") % 7 == 1, F.lit("run-other"))
-        .otherwise(owner)
-    )
-    return (
+    """States of every run at the end of every epoch, the later ones upserted into the first.
+
+    The engine stamps them; some stamps are then lost or overwritten, for the guard to find.
+    """
+    progress = (
         telemetry.with_steps(views.metrics(spark, folder), SHAPE)
         .filter("closes")
         .groupBy("run_id", "epoch")
         .agg(F.max("step").alias("global_step"), F.max("ts_us").alias("updated_at"))
-        .select(
-            run_state.state_key(owner).alias("state_key"),
-            stamp.alias("stamped_owner"),
-            "global_step",
-            (F.col("global_step") >= SHAPE.total_steps).alias("completed"),
-            "updated_at",
+        .withColumns(
+            {
+                "owner": F.concat(F.lit("run-"), F.col("run_id").cast("string")),
+                "completed": F.col("global_step") >= SHAPE.total_steps,
+            }
         )
     )
+    number = F.regexp_extract("owner", "[0-9]+", 0).cast("bigint")
+    path = scratch_path(spark, "run-state")
+    known = None
+    for part in (F.col("epoch") == 0, F.col("epoch") > 0):
+        states = run_state.stamp_state(progress.filter(part), _custom_key(number))
+        run_state.write_state(run_state.upsert_state(known, states), path)
+        known = run_state.read_state(spark, path)
+    owner = F.regexp_extract("stamped_owner", "[0-9]+", 0).cast("bigint")
+    stamp = (
+        F.when(owner % 7 == 0, F.lit(None).cast("string"))
+        .when(owner % 7 == 1, F.lit("run-other"))
+        .otherwise(F.col("stamped_owner"))
+    )
+    return known.withColumn("stamped_owner", stamp)
 
 
 @_query
@@ -176,7 +198,7 @@ def run_state_guard(spark: SparkSession, folder: str) -> DataFrame:
         .distinct()
         .select(
             owner.alias("owner"),
-            run_state.state_key(owner).alias("state_key"),
+            run_state.state_key(owner, _custom_key(F.col("id"))).alias("state_key"),
             (F.col("id") % 14 == 7).alias("custom"),
         )
     )
@@ -193,7 +215,7 @@ def run_state_close(spark: SparkSession, folder: str) -> DataFrame:
         telemetry.run_summary(views.metrics(spark, folder), SHAPE)
         .withColumn("owner", F.concat(F.lit("run-"), F.col("run_id").cast("string")))
         .select(
-            run_state.state_key(F.col("owner")).alias("state_key"),
+            run_state.state_key(F.col("owner"), _custom_key(F.col("run_id"))).alias("state_key"),
             (F.col("run_id") % 2 == 1).alias("instruct"),
             (F.col("global_step") >= SHAPE.total_steps).alias("completed"),
             (F.col("run_id") % 3 == 0).alias("custom"),
@@ -224,14 +246,27 @@ def drop_null_results(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def quarantine_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Reject reasons of the JSON processor, in Python, over JSON and dirty texts."""
+    """Reject reasons of a native, a SQL and a Python processor over the same rows.
+
+    All three read JSON. The SQL one casts to a wrong type on the way where content is no
+    string, the Python one returns what is no text: neither fails the job.
+    """
     both = views.json_texts(spark, folder).unionByName(views.dirty_texts(spark, folder))
-    checked = prepare.quarantine(both, prepare.python_processor(_json_in_python), False, TOKENS)
-    return (
-        checked.groupBy(F.coalesce("reject_reason", F.lit("ok")).alias("outcome"), "lang")
-        .agg(F.count("*").alias("n"))
-        .select("outcome", "lang", "n")
-    )
+    processors = {
+        "native": "json_content",
+        "sql": JSON_SQL,
+        "python": prepare.python_processor(_json_in_python),
+    }
+    out = None
+    for name, processor in processors.items():
+        counts = (
+            prepare.quarantine(both, processor, False, TOKENS)
+            .groupBy(F.coalesce("reject_reason", F.lit("ok")).alias("outcome"), "lang")
+            .agg(F.count("*").alias("n"))
+            .select(F.lit(name).alias("processor"), "outcome", "lang", "n")
+        )
+        out = counts if out is None else out.unionByName(counts)
+    return out
 
 
 @_query
@@ -278,15 +313,14 @@ def format_json(spark: SparkSession, folder: str) -> DataFrame:
 def split_parts(spark: SparkSession, folder: str) -> DataFrame:
     parts = chat.split_marker(F.col("text"), TOKENS.end_marker)
     return views.chat_texts(spark, folder).select(
-        "conv_id", "segment", F.posexplode(parts).alias("part_no", "part")
-    ).select("conv_id", "segment", _long("part_no"), "part")
+        "conv_id", F.posexplode(parts).alias("part_no", "part")
+    ).select("conv_id", _long("part_no"), "part")
 
 
 @_query
 def parse_conversation(spark: SparkSession, folder: str) -> DataFrame:
     return views.chat_texts(spark, folder).select(
         "conv_id",
-        "segment",
         _dialogue(chat.parse_conversation(F.col("text"), TOKENS)).alias("dialogue"),
     )
 
@@ -296,7 +330,7 @@ def render_chat(spark: SparkSession, folder: str) -> DataFrame:
     rendered = chat.render_chat(F.col("conversation"), TOKENS)
     return (
         views.conversations(spark, folder)
-        .select("conv_id", "segment", rendered.alias("prompt"))
+        .select("conv_id", rendered.alias("prompt"))
         .filter(F.col("prompt").isNotNull())
     )
 
@@ -316,7 +350,7 @@ def chat_role_audit(spark: SparkSession, folder: str) -> DataFrame:
 def format_instruct(spark: SparkSession, folder: str) -> DataFrame:
     """Marked chats become prompts, texts without markers are wrapped."""
     return prepare.prepare(_phase_texts(spark, folder), "default", True, TOKENS).select(
-        "phase", "key", "segment", "text"
+        "phase", "key", "text"
     )
 
 
@@ -331,7 +365,7 @@ def format_line_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _words(spark: SparkSession, folder: str, *by: str) -> DataFrame:
-    corpus = tables.spread(views.raw_texts(spark, folder).select(*by, "text"))
+    corpus = views.raw_texts(spark, folder).repartition("doc_id").select(*by, "text")
     return vocabulary.word_counts(corpus, *by)
 
 
@@ -402,7 +436,16 @@ def extend_vocab(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query
 def token_ids(spark: SparkSession, folder: str) -> DataFrame:
-    vocab = vocabulary.extend_vocab(_tokenizer(spark, folder).vocab, TOKENS.for_phase(True))
+    """The ids of the roles, and of every plain word of the documents that is one token."""
+    path = scratch_path(spark, "word-counts")
+    _words(spark, folder).write.parquet(path)
+    words = spark.read.parquet(path)
+    vocab = vocabulary.extend_vocab(
+        bpe.train_bpe(words, SETTINGS).vocab, TOKENS.for_phase(True)
+    )
+    plain = words.filter(F.col("word").rlike("^[A-Za-z]+$")).select(
+        F.col("word").alias("name"), F.col("word").alias("token")
+    )
     # The roles whose ids are looked up.
     wanted = spark.createDataFrame(
         [
@@ -413,24 +456,27 @@ def token_ids(spark: SparkSession, folder: str) -> DataFrame:
         ],
         "name STRING, token STRING",
     )
-    return vocabulary.token_ids(vocab, wanted).select("name", "token", _long("id"))
+    return vocabulary.token_ids(vocab, wanted.unionByName(plain)).select(
+        "name", "token", _long("id")
+    )
 
 
 @_query
 def instruct_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """One tokenizer per source; templates and extra tokens are given to some of them."""
-    words = _words(spark, folder, "source").select(F.col("source").alias("tokenizer"), "word")
-    names = words.select("tokenizer").distinct()
+    """One tokenizer per source, whose tokens are the words of its documents.
+
+    The extra tokens asked for are words of different languages, so that the verdict depends
+    on the texts; templates are given to some sources.
+    """
+    names = views.raw_texts(spark, folder).select(F.col("source").alias("tokenizer")).distinct()
     number = F.regexp_extract("tokenizer", "[0-9]+", 0).cast("int")
-    extras = F.array(*[F.lit(t) for t in TOKENS.extra])
-    given = F.when(number % 2 == 0, extras).when(number % 3 == 0, F.slice(extras, 1, 2))
-    vocabs = words.withColumnRenamed("word", "token").unionByName(
-        names.select("tokenizer", F.explode(given).alias("token"))
+    vocabs = _words(spark, folder, "source").select(
+        F.col("source").alias("tokenizer"), F.col("word").alias("token")
     )
     templates = names.select(
         "tokenizer", F.when(number % 4 < 2, F.lit("template")).alias("chat_template")
     )
-    return vocabulary.instruct_audit(vocabs, templates, TOKENS.extra)
+    return vocabulary.instruct_audit(vocabs, templates, AUDIT_WORDS)
 
 
 # Encoding and collation
@@ -443,30 +489,32 @@ def _byte_encoded(spark: SparkSession, folder: str, instruct: bool) -> DataFrame
     return (
         _prepared(spark, folder, heavy=True)
         .filter(F.col("phase") == phase)
-        .select("phase", "key", "segment", encoding.encode_bytes(F.col("text"), ids).alias("ids"))
+        .select("phase", "key", encoding.encode_bytes(F.col("text"), ids).alias("ids"))
     )
 
 
 def _layout(examples: DataFrame) -> DataFrame:
-    return layout.training_layout(examples, ["key", "segment"], EPOCHS, SETTINGS)
+    return layout.training_layout(examples, ["key"], EPOCHS, SETTINGS)
 
 
 def _batches(spark: SparkSession, folder: str, instruct: bool) -> DataFrame:
-    encoded = _byte_encoded(spark, folder, instruct).drop("phase")
+    path = scratch_path(spark, "encoded")
+    _byte_encoded(spark, folder, instruct).write.parquet(path)
+    encoded = spark.read.parquet(path)
     ids = encoding.byte_special_ids(TOKENS, True)
     markers = encoding.CollateIds(ids[TOKENS.pad], ids[TOKENS.bot_marker], ids[TOKENS.end_marker])
     return encoding.collate(
-        encoded, _layout(encoded), ["key", "segment"], markers, SETTINGS, instruct
+        encoded, _layout(encoded.select("key")), ["key"], markers, SETTINGS, instruct
     )
 
 
-_BATCH_COLUMNS = ("key", "segment", "epoch", "rank", "batch_no")
+_BATCH_COLUMNS = ("key", "epoch", "rank", "batch_no")
 
 
 @_query
 def encode_bytes(spark: SparkSession, folder: str) -> DataFrame:
     both = _byte_encoded(spark, folder, False).unionByName(_byte_encoded(spark, folder, True))
-    return both.select("phase", "key", "segment", _numbers("ids").alias("ids"))
+    return both.select("phase", "key", _numbers("ids").alias("ids"))
 
 
 @_query
@@ -475,7 +523,7 @@ def encode_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocab = vocabulary.configure_vocab(tokenizer.vocab, True, TOKENS)
     encoded = encoding.encode(_prepared(spark, folder, heavy=True), vocab, tokenizer.merges)
     return encoded.select(
-        "phase", "key", "segment", F.size("ids").cast("bigint").alias("n_ids"),
+        "phase", "key", F.size("ids").cast("bigint").alias("n_ids"),
         _numbers("ids").alias("ids"),
     )
 
@@ -594,7 +642,7 @@ def assign_steps(spark: SparkSession, folder: str) -> DataFrame:
         rows[0].unionByName(rows[1]), _plan_summary(spark, folder), SETTINGS
     )
     return stepped.select(
-        "phase", "key", "segment", _long("epoch"), _long("rank"), _long("batch_no"),
+        "phase", "key", _long("epoch"), _long("rank"), _long("batch_no"),
         _long("step"), "closes",
     )
 
@@ -611,19 +659,51 @@ def plan_guard(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _resumed_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs whose state is their own, or that have none yet: (owner, phase, global_step)."""
+    number = F.col("user_id")
+    owner = F.concat(F.lit("run-"), number.cast("string"))
+    expected = (
+        views.table(spark, folder, "events")
+        .select(number)
+        .distinct()
+        .select(
+            owner.alias("owner"),
+            run_state.state_key(owner, _custom_key(number)).alias("state_key"),
+            (number % 14 == 7).alias("custom"),
+        )
+    )
+    state = run_state.latest_state(_state_history(spark, folder))
+    parity = F.regexp_extract("owner", "[0-9]+", 0).cast("bigint") % 2
+    return (
+        run_state.guard_state(expected, state)
+        .filter(F.col("verdict").isin("new", "ours"))
+        .select(
+            "owner",
+            F.when(parity == 1, tables.INSTRUCT).otherwise(tables.PRETRAIN).alias("phase"),
+            F.col("resume_step").alias("global_step"),
+        )
+    )
+
+
 @_query
 def resume_plan(spark: SparkSession, folder: str) -> DataFrame:
-    runs = telemetry.run_summary(views.metrics(spark, folder), SHAPE).select(
-        F.concat(F.lit("run-"), F.col("run_id").cast("string")).alias("owner"),
-        F.when(F.col("run_id") % 2 == 1, tables.INSTRUCT).otherwise(tables.PRETRAIN).alias("phase"),
-        "global_step",
-    )
+    runs = _resumed_runs(spark, folder)
     return steps.resume_plan(_plan_summary(spark, folder), runs).select(
         "owner", "phase", _long("global_step"), _long("epoch"), _long("batch_no"),
         _long("next_step"), _long("steps_left"),
     )
 
 
+@_query
+def remaining_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """The plan rows that every resumed run still has to take."""
+    runs = _resumed_runs(spark, folder)
+    return steps.remaining_steps(_plan_summary(spark, folder), runs, SETTINGS).select(
+        "owner", "phase", _long("step"), _long("epoch"), _long("first_batch"), _long("last_batch")
+    )
+
+
 @_query
 def lr_plan(spark: SparkSession, folder: str) -> DataFrame:
     settings = Settings(world_size=3, epochs=2.5, warmup_steps=10, learning_rate=1.0)
@@ -637,7 +717,7 @@ def lr_plan(spark: SparkSession, folder: str) -> DataFrame:
 def token_budget(spark: SparkSession, folder: str) -> DataFrame:
     kept = F.size(F.filter("labels", lambda x: x != SETTINGS.ignore_label)).alias("n_kept")
     sized = _batches(spark, folder, True).select(
-        F.lit(tables.INSTRUCT).alias("phase"), "epoch", "rank", "batch_no", "n_ids", "pad_to", kept
+        "phase", "epoch", "rank", "batch_no", "n_ids", "pad_to", kept
     )
     return steps.token_budget(sized, _plan_summary(spark, folder), SETTINGS).select(
         "phase", _long("epoch"), _long("step"), "n_examples", _long("effective_batch"),
@@ -714,7 +794,7 @@ def throughput(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def metrics_report(spark: SparkSession, folder: str) -> DataFrame:
     small = views.metrics(spark, folder).withColumn("loss", F.col("loss") / 10_000)
-    return telemetry.metrics_report(small, SHAPE, Settings(report_every_windows=2)).select(
+    return telemetry.metrics_report(small, SHAPE, replace(SETTINGS, report_every_windows=2)).select(
         "run_id", _long("step"), "report"
     )
 
@@ -777,7 +857,8 @@ def failure_triage(spark: SparkSession, folder: str) -> DataFrame:
 def _json_in_python(value: str, tokens: SpecialTokens, _instruct: bool) -> str:
     import json
 
-    return tokens.bos + json.loads(value)["content"] + tokens.eos
+    content = json.loads(value)["content"]
+    return tokens.bos + content + tokens.eos if isinstance(content, str) else content or 0
 
 
 def _lines_in_python(value: str, tokens: SpecialTokens, _instruct: bool) -> str | None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
 
@@ -25,17 +26,31 @@ class SpecialTokens:
     def named(self) -> tuple[str, ...]:
         return (self.bos, self.eos, self.unk, self.pad, self.mask)
 
+    @classmethod
+    def from_json(cls, text: str) -> SpecialTokens:
+        """Tokens named in a JSON object; names left out keep their defaults."""
+        given = json.loads(text)
+        names = {f"{slot}_token": slot for slot in ("bos", "eos", "unk", "pad", "mask")}
+        chosen = {slot: given[name] for name, slot in names.items() if name in given}
+        if "additional_special_tokens" in given:
+            chosen["extra"] = tuple(given["additional_special_tokens"])
+        return cls(**chosen)
+
+    def _marker(self, place: int) -> str | None:
+        return self.extra[place] if len(self.extra) > place else None
+
+    # Chat needs all three markers; with fewer extra tokens every text is wrapped as it is.
     @property
-    def user_marker(self) -> str:
-        return self.extra[0]
+    def user_marker(self) -> str | None:
+        return self._marker(0)
 
     @property
-    def bot_marker(self) -> str:
-        return self.extra[1]
+    def bot_marker(self) -> str | None:
+        return self._marker(1)
 
     @property
-    def end_marker(self) -> str:
-        return self.extra[2]
+    def end_marker(self) -> str | None:
+        return self._marker(2)
 
     def for_phase(self, instruct: bool) -> tuple[str, ...]:
         return self.named + (self.extra if instruct else ())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,8 +41,22 @@ def json_content(text: Column, tokens: SpecialTokens) -> Column:
     return F.when(single & is_string, wrap(F.try_variant_get(content, "$", "string"), tokens))
 
 
+def json_in_python(text: str, tokens: SpecialTokens) -> tuple[str | None, str | None]:
+    """The same by Python's reader: the prompt, or else why there is none."""
+    try:
+        content = json.loads(text)["content"]
+        if not isinstance(content, str):
+            raise TypeError("content is no string")
+        content.encode("utf-8")
+        return tokens.bos + content + tokens.eos, None
+    except (ValueError, TypeError, LookupError, RecursionError) as error:
+        return None, f"{type(error).__name__}: {error}"[:200]
+
+
 def chat_or_wrap(text: Column, instruct: Column, tokens: SpecialTokens) -> Column:
     """Marked chat in the instruct phase; the wrapped text where there is no conversation."""
+    if tokens.end_marker is None:
+        return wrap(text, tokens)
     # A text has at least one pair of parts exactly where it holds an end marker.
     has_turns = text.contains(tokens.end_marker)
     chat = render_turns(parse_conversation(text, tokens), tokens)
@@ -68,6 +84,12 @@ def format_float(values: pd.Series) -> pd.Series:
     return values.map(one, na_action="ignore")
 
 
+@F.pandas_udf(T.StringType())
+def format_fixed(values: pd.Series) -> pd.Series:
+    """Two decimals, rounded as Python does it."""
+    return values.map("{:.2f}".format, na_action="ignore")
+
+
 def format_metrics(floats: dict[str, Column], others: dict[str, Column] | None = None) -> Column:
     """Named values as "key: value | key: value"; floats first, then the others as they are."""
     parts = [F.concat(F.lit(f"{k}: "), format_float(c)) for k, c in floats.items()]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -37,14 +38,35 @@ def merge_table(
 
 
 def replay_merges(symbols: str, table: dict[str, tuple[int, str]]) -> str:
-    """Merge the pair of the lowest rank, everywhere, until no pair is in the table."""
-    while len(symbols) > 1:
-        pairs = {symbols[i : i + 2] for i in range(len(symbols) - 1)} & table.keys()
-        if not pairs:
-            break
-        best = min(pairs, key=lambda pair: table[pair][0])
-        symbols = symbols.replace(best, table[best][1])
-    return symbols
+    """Merge the pair of the lowest rank, everywhere, until no pair is in the table.
+
+    A heap of pairs over linked symbols, lowest rank and then leftmost first, so that a word
+    of n symbols takes n log n steps.
+    """
+    n = len(symbols)
+    held: list[str | None] = list(symbols)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [
+        (table[pair][0], at, pair)
+        for at in range(n - 1)
+        if (pair := symbols[at : at + 2]) in table
+    ]
+    heapify(heap)
+    while heap:
+        _, at, pair = heappop(heap)
+        right = after[at]
+        if right >= n or held[at] != pair[0] or held[right] != pair[1]:
+            continue
+        held[at], held[right] = table[pair][1], None
+        after[at] = after[right]
+        if after[at] < n:
+            before[after[at]] = at
+        for left in (before[at], at):
+            if left >= 0 and after[left] < n:
+                fresh = held[left] + held[after[left]]
+                if fresh in table:
+                    heappush(heap, (table[fresh][0], left, fresh))
+    return "".join(c for c in held if c is not None)
 
 
 def _id_lookup(vocab: DataFrame, merges: DataFrame) -> Callable[[Column], Column]:
@@ -177,20 +199,23 @@ def collate(
     ids: CollateIds,
     settings: Settings = Settings(),
     instruct: bool = False,
+    together: Sequence[Column] = (),
 ) -> DataFrame:
     """One row per example of each epoch: input_ids, attention_mask and labels.
 
     The padded length is found on slim rows (keys and lengths); the id arrays are then
-    shuffled once, to meet their layout row. Pass encoded(*keys, ids) as a stored table, as
-    it is read twice.
+    shuffled once, to meet their layout row, which is the side a hash table is built of.
+    Rows that belong `together` are brought there as bare ids, before masks and labels are
+    made. Pass encoded(*keys, ids, ..) as a stored table, as it is read twice; its further
+    columns are carried along.
     """
     keys = list(keys)
     cut = encoded.withColumn("ids", truncate(F.col("ids"), settings.max_length))
     lengths = cut.select(*keys, F.size("ids").alias("n_ids"))
     sized = pad_lengths(layout.join(lengths, keys), settings.pad_multiple)
     fill = F.col("pad_to") - F.col("n_ids")
-    # Id arrays outgrow the planner's estimate, so this side is never broadcast.
-    rows = sized.join(cut.select(*keys, "ids").hint("merge"), keys).withColumns(
+    met = cut.join(sized.hint("shuffle_hash"), keys)
+    rows = (met.repartition(*together) if together else met).withColumns(
         {
             "input_ids": F.concat("ids", F.array_repeat(F.lit(ids.pad), fill)),
             "attention_mask": F.concat(

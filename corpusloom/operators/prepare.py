@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,9 @@ from corpusloom.operators.positions import batch_numbers
 
 Processor = Callable[[DataFrame, Column, SpecialTokens], DataFrame]
 
+# SQL functions whose purpose is to raise.
+_RAISING = re.compile(r"\b(raise_error|assert_true)\s*\(", re.IGNORECASE)
+
 _PYTHON_RESULT = T.StructType(
     [T.StructField("result", T.StringType()), T.StructField("error", T.StringType())]
 )
@@ -31,40 +36,84 @@ def drop_null_results(df: DataFrame, column: str = "result") -> DataFrame:
     return df.filter(F.col(column).isNotNull())
 
 
-def _from_column(build: Callable[[Column, Column, SpecialTokens], Column]) -> Processor:
+def _from_column(
+    build: Callable[[Column, Column, SpecialTokens], Column], failure: str
+) -> Processor:
+    """A processor made of columns; a text it has no result for carries the failure as error."""
+
     def run(df: DataFrame, instruct: Column, tokens: SpecialTokens) -> DataFrame:
-        return df.withColumns(
-            {
-                "result": build(F.col("text"), instruct, tokens),
-                "error": F.lit(None).cast("string"),
-            }
+        failed = F.col("text").isNotNull() & F.col("result").isNull()
+        return df.withColumn("result", build(F.col("text"), instruct, tokens)).withColumn(
+            "error", F.when(failed, F.lit(failure))
         )
 
     return run
 
 
+def _json_content(df: DataFrame, instruct: Column, tokens: SpecialTokens) -> DataFrame:
+    """Native where the native reader gives a result; Python's reader judges all other rows.
+
+    The native reader refuses strings above 20 million characters and deep nesting, which
+    Python's takes. Rows with a native result reach Python as null.
+    """
+
+    read = formats.json_in_python
+
+    @F.arrow_udf(_PYTHON_RESULT)
+    def judge(texts: pa.Array) -> pa.Array:
+        rows = [(None, None) if t is None else read(t, tokens) for t in texts.to_pylist()]
+        columns = list(zip(*rows, strict=True)) or [(), ()]
+        return pa.StructArray.from_arrays(
+            [pa.array(c, pa.string()) for c in columns], ["result", "error"]
+        )
+
+    native = df.withColumn("__native", formats.json_content(F.col("text"), tokens))
+    refused = F.when(F.col("__native").isNull(), F.col("text"))
+    return (
+        native.withColumn("__judged", judge(refused))
+        .withColumns(
+            {
+                "result": F.coalesce("__native", "__judged.result"),
+                "error": F.col("__judged.error"),
+            }
+        )
+        .drop("__native", "__judged")
+    )
+
+
 BUILT_IN: dict[str, Processor] = {
-    "default": _from_column(formats.chat_or_wrap),
-    "wrap": _from_column(lambda text, _, tokens: formats.wrap(text, tokens)),
-    "strip_wrap": _from_column(lambda text, _, tokens: formats.strip_wrap(text, tokens)),
-    "json_content": _from_column(lambda text, _, tokens: formats.json_content(text, tokens)),
-    "line_chat": _from_column(formats.line_chat),
+    "default": _from_column(formats.chat_or_wrap, "no prompt"),
+    "wrap": _from_column(lambda text, _, tokens: formats.wrap(text, tokens), "no prompt"),
+    "strip_wrap": _from_column(lambda text, _, tokens: formats.strip_wrap(text, tokens), "no prompt"),
+    "json_content": _json_content,
+    "line_chat": _from_column(formats.line_chat, "roles do not alternate"),
 }
 
 
 def sql_processor(expression: str) -> Processor:
     """A SQL expression over text, bos, eos and isinst; it runs in generated code.
 
-    Use the try_ functions of SQL where a row may fail, so that it becomes null.
+    It is analysed without ANSI mode, so that a failing cast or division gives null for its
+    row; a result is taken as a string. Functions that raise by themselves are refused.
     """
+    raising = _RAISING.search(expression)
+    if raising:
+        raise ValueError(f"{raising.group(1)} would fail the job, not the row")
 
     def run(df: DataFrame, instruct: Column, tokens: SpecialTokens) -> DataFrame:
         names = {"bos": F.lit(tokens.bos), "eos": F.lit(tokens.eos), "isinst": instruct}
-        return (
-            df.withColumns(names)
-            .withColumns({"result": F.expr(expression), "error": F.lit(None).cast("string")})
-            .drop(*names)
-        )
+        conf, ansi = df.sparkSession.conf, "spark.sql.ansi.enabled"
+        before = conf.get(ansi)
+        conf.set(ansi, "false")
+        try:
+            result = F.expr(expression).cast("string")
+            return (
+                df.withColumns(names)
+                .withColumns({"result": result, "error": F.lit(None).cast("string")})
+                .drop(*names)
+            )
+        finally:
+            conf.set(ansi, before)
 
     return run
 
@@ -80,7 +129,10 @@ def python_processor(function: Callable[[str, SpecialTokens, bool], str | None])
             if text is None:
                 return None, None
             try:
-                return function(text, tokens, flag), None
+                result = function(text, tokens, flag)
+                if result is not None and not isinstance(result, str):
+                    return None, f"TypeError: {type(result).__name__} is not a text"
+                return result, None
             except Exception as error:  # noqa: BLE001 - any failure rejects the row only
                 return None, f"{type(error).__name__}: {error}"
 

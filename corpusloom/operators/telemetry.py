@@ -12,12 +12,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.config import Settings
-from corpusloom.functions.formats import format_metrics
+from corpusloom.functions.formats import format_fixed, format_metrics
 from corpusloom.operators.positions import running_max
 from corpusloom.plans.steps import learning_rate
 
-# Losses are summed as decimals, so that a sum does not depend on the order of its rows.
-_LOSS_SUM = "decimal(38,9)"
+# Micro-batches whose losses are summed in one piece, in their order; a longer run is the sum
+# of its pieces, in their order. So a sum has the same bits however the rows are spread.
+_SUM_BLOCK = 1024
+
+
+def _ordered_sum(place: Column, value: Column) -> Column:
+    """An aggregate: the non-null values added as doubles by ascending place; null for none."""
+    pairs = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct(place.alias("at"), value.alias("value")))))
+    added = F.aggregate(pairs, F.lit(0.0), lambda total, pair: total + pair["value"])
+    return F.when(F.size(pairs) > 0, added)
 
 
 @dataclass(frozen=True)
@@ -108,7 +116,7 @@ def log_windows(metrics: DataFrame, shape: RunShape) -> DataFrame:
         .groupBy("run_id", "window")
         .agg(
             F.max(F.when(closing, F.col("ts_us"))).alias("end_us"),
-            F.sum(F.when(finite, F.col("loss").cast(_LOSS_SUM))).alias("__sum"),
+            _ordered_sum(F.col("micro"), F.when(finite, F.col("loss"))).alias("__sum"),
             F.count(F.when(finite, 1)).alias("n_finite"),
         )
         .filter((F.col("n_finite") > 0) & F.col("end_us").isNotNull())
@@ -116,7 +124,7 @@ def log_windows(metrics: DataFrame, shape: RunShape) -> DataFrame:
             "run_id",
             "window",
             ((F.col("window") + 1) * every).alias("step"),
-            (F.col("__sum").cast("double") / F.col("n_finite")).alias("mean_loss"),
+            (F.col("__sum") / F.col("n_finite")).alias("mean_loss"),
             "n_finite",
             "end_us",
         )
@@ -158,14 +166,23 @@ def throughput(
 def metrics_report(
     metrics: DataFrame, shape: RunShape, settings: Settings = Settings()
 ) -> DataFrame:
-    """The periodic report: every fifth log window as one line of text."""
+    """The periodic report: every fifth log window as a step, a metrics and a speed line."""
     rate = learning_rate(F.col("step"), F.lit(shape.total_steps), settings)
-    line = format_metrics(
+    values = format_metrics(
         {"loss": F.col("mean_loss"), "learning_rate": rate}, {"step": F.col("step")}
     )
+    place = F.concat(F.lit("Step "), F.col("step").cast("string"), F.lit(f"/{shape.total_steps}"))
+    speed = F.concat(
+        F.lit("Speed: "),
+        format_fixed("samples_per_second"),
+        F.lit(" samples/s | "),
+        format_fixed("steps_per_second"),
+        F.lit(" steps/s"),
+    )
+    line = F.concat_ws("\n", place, values, speed)
     each = shape.logging_steps * settings.report_every_windows
     return (
-        log_windows(metrics, shape)
+        throughput(metrics, shape, settings)
         .filter(F.col("step") % each == 0)
         .select("run_id", "step", line.alias("report"))
     )
@@ -176,14 +193,20 @@ def run_summary(metrics: DataFrame, shape: RunShape) -> DataFrame:
     finite = is_finite(F.col("loss"))
     return (
         with_steps(metrics, shape)
-        .groupBy("run_id")
+        .withColumn("__block", F.expr(f"micro div {_SUM_BLOCK}"))
+        .groupBy("run_id", "__block")
         .agg(
             F.count("*").alias("n_micro"),
             F.count(F.when(finite, 1)).alias("n_finite"),
-            F.coalesce(F.max(F.when(F.col("closes"), F.col("step"))), F.lit(0)).alias(
-                "global_step"
-            ),
-            F.sum(F.when(finite, F.col("loss").cast(_LOSS_SUM))).cast("double").alias("__sum"),
+            F.max(F.when(F.col("closes"), F.col("step"))).alias("last_step"),
+            _ordered_sum(F.col("micro"), F.when(finite, F.col("loss"))).alias("__part"),
+        )
+        .groupBy("run_id")
+        .agg(
+            F.sum("n_micro").alias("n_micro"),
+            F.sum("n_finite").alias("n_finite"),
+            F.coalesce(F.max("last_step"), F.lit(0)).alias("global_step"),
+            _ordered_sum(F.col("__block"), F.col("__part")).alias("__sum"),
         )
         .withColumns(
             {

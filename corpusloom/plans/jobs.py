@@ -26,7 +26,6 @@ from corpusloom.sources.tables import (
     read_prepared,
     scan,
     scan_corpus,
-    spread,
     write_prepared,
 )
 from corpusloom.sources.tokenizer_store import (
@@ -65,7 +64,7 @@ def tokenizer_job(
     """Train a tokenizer on a fresh pretraining run, else load one; then add the specials."""
     if needs_training(instruct, resume, override):
         counted = scratch_path(spark, "word-counts")
-        word_counts(spread(scan_corpus(spark, paths))).write.parquet(counted)
+        word_counts(scan_corpus(spark, paths)).write.parquet(counted)
         tokenizer = train_bpe(spark.read.parquet(counted), settings)
     else:
         source = select_tokenizer_path(own, own_instruct, override, instruct, resume)
@@ -128,15 +127,13 @@ def batch_job(
     tokens = settings.tokens
     ids = CollateIds(known[tokens.pad], known.get(tokens.bot_marker), known.get(tokens.end_marker))
     encoded_path = scratch_path(spark, "encoded")
-    texts = spread(prepared.select(*keys, "text"), *keys)
-    encode(texts, tokenizer.vocab, tokenizer.merges).select(*keys, "ids").write.parquet(
+    encode(prepared.select(*keys, "text"), tokenizer.vocab, tokenizer.merges).select(*keys, "ids").write.parquet(
         encoded_path
     )
     encoded = spark.read.parquet(encoded_path)
     layout = training_layout(prepared.select(*keys), keys, epochs, settings)
-    batches = collate(encoded, layout, keys, ids, settings, instruct)
     block = F.expr(f"batch_no div {_FILE_BATCHES}")
-    batches.repartition("epoch", "rank", block).sortWithinPartitions(
-        "epoch", "rank", "batch_no", "pos"
-    ).write.mode("overwrite").partitionBy("epoch", "rank").parquet(target)
+    together = [F.col("epoch"), F.col("rank"), block]
+    batches = collate(encoded, layout, keys, ids, settings, instruct, together)
+    batches.sortWithinPartitions("epoch", "rank", "batch_no", "pos").write.mode("overwrite").partitionBy("epoch", "rank").parquet(target)
     return spark.read.parquet(target)

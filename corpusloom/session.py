@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,18 +43,17 @@ def apply_session_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
-    The cluster names it in spark.checkpoint.dir. Only a local session without one
-    gets a folder of its own; on a cluster a machine-local folder would be lost with its node.
+    The cluster names it in spark.checkpoint.dir. Where that is unset, it is a folder below
+    the warehouse, which driver and executors share as well.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        configured = context.getCheckpointDir() or f"{warehouse}/_scratch"
     if context.getCheckpointDir() is None:
-        if configured is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            configured = tempfile.mkdtemp(prefix="corpusloom-")
         context.setCheckpointDir(configured)
-    return configured or context.getCheckpointDir()
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

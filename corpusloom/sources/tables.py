@@ -24,16 +24,6 @@ def scan(spark: SparkSession, paths: DatasetPaths, instruct: bool, *keys: str) -
     return spark.read.parquet(path).select(*keys, "text")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """A plain scan, over all cores where it has fewer splits than the cluster has cores.
-
-    For work that computes much per row, such as tokenizing. A large dataset has more splits
-    than cores and stays as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def needs_training(instruct: bool, resume: bool, tokenizer_override: str | None) -> bool:
     """A tokenizer is trained only on a fresh pretraining run without a given tokenizer."""
     return not (instruct or resume or tokenizer_override)
@@ -47,9 +37,11 @@ def scan_corpus(spark: SparkSession, paths: DatasetPaths) -> DataFrame:
 def write_prepared(df: DataFrame, path: str) -> None:
     """Write prepared texts as Parquet, one folder per phase.
 
-    Rows keep their key columns, which carry the input order. Nothing is shuffled.
+    Only the phases that the rows hold are replaced. Rows keep their key columns, which carry
+    the input order. Nothing is shuffled.
     """
-    df.write.mode("overwrite").partitionBy("phase").parquet(path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("phase").parquet(path)
 
 
 def read_prepared(spark: SparkSession, path: str, phase: str | None = None) -> DataFrame:

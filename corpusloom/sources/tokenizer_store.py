@@ -23,10 +23,13 @@ class Tokenizer:
 
 
 def save_tokenizer(tokenizer: Tokenizer, path: str) -> None:
+    """Write all tables; without word_tokens an empty one replaces what was there."""
+    spark = tokenizer.vocab.sparkSession
     for name in _TABLES:
         table = getattr(tokenizer, name)
-        if table is not None:
-            table.write.mode("overwrite").parquet(f"{path}/{name}")
+        if table is None:
+            table = spark.createDataFrame([], "word STRING, n BIGINT, ids ARRAY<INT>")
+        table.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def load_tokenizer(spark: SparkSession, path: str, with_words: bool = True) -> Tokenizer:

@@ -1,7 +1,7 @@
 """Input views over the given tables, the shapes the operators expect.
 
-Every view keeps the whole table. Where a view plants faults, such as blank texts or broken
-JSON, it does so row by row, so that a real table exercises the error paths.
+Every view keeps the whole table. Where a query is about faulty rows, such as blank texts or
+broken JSON, its view adds them under ids of their own.
 """
 
 from __future__ import annotations
@@ -13,10 +13,6 @@ from corpusloom.config import SpecialTokens
 from corpusloom.operators.positions import ordinals
 from corpusloom.session import scratch_path
 
-# Turns joined into one text. A longer conversation becomes several texts, so that no
-# conversation, however long, has to fit into one row. Even, so that roles keep their parity.
-SEGMENT_TURNS = 256
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -27,69 +23,72 @@ def raw_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dirty_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents; some carry a null, an empty or a blank text instead of their own."""
+    """All documents, and under new ids rows with a null, an empty or a blank text."""
+    documents = raw_texts(spark, folder)
     case, number = F.col("doc_id") % 11, F.col("doc_id")
-    text = (
+    faulty = (
         F.when(case == 0, F.lit(None).cast("string"))
         .when(case == 1, F.lit(""))
-        .when((case == 2) | number.between(200, 299), F.lit("   "))
+        .when((case == 2) | number.between(200, 399), F.lit("   "))
         .when(case == 3, F.lit("\u00a0\u3000\t"))
-        .when(case == 4, F.lit("\u200b"))
-        .otherwise(F.col("text"))
+        .otherwise(F.lit("\u200b"))
     )
-    return raw_texts(spark, folder).withColumn("text", text)
+    chosen = documents.filter((case <= 4) | number.between(200, 399))
+    extra = chosen.withColumns({"text": faulty, "doc_id": -F.col("doc_id") - 1})
+    return documents.unionByName(extra)
 
 
 def json_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents as JSON objects; some are malformed or hold no string content."""
+    """All documents as JSON objects, and under new ids malformed ones or without a string."""
+    documents = raw_texts(spark, folder)
     case = F.col("doc_id") % 5
-    text = (
+    faulty = (
         F.when(case == 0, F.concat(F.lit("{"), F.col("text")))
         .when(case == 1, F.lit('{"content": 5}'))
         .when(case == 2, F.to_json(F.struct(F.col("text").alias("other"))))
-        .when(case == 3, F.lit('{"content": null}'))
-        .otherwise(F.to_json(F.struct(F.col("text").alias("content"))))
+        .otherwise(F.lit('{"content": null}'))
     )
-    return raw_texts(spark, folder).withColumn("text", text)
-
-
-def _segments(spark: SparkSession, folder: str, turns: int) -> DataFrame:
-    return table(spark, folder, "conversations").withColumn(
-        "segment", F.expr(f"turn div {int(turns)}")
+    whole = documents.withColumn("text", F.to_json(F.struct(F.col("text").alias("content"))))
+    extra = documents.filter(case <= 3).withColumns(
+        {"text": faulty, "doc_id": -F.col("doc_id") - 1}
     )
+    return whole.unionByName(extra)
 
 
 def chat_texts(
-    spark: SparkSession,
-    folder: str,
-    tokens: SpecialTokens = SpecialTokens(),
-    segment_turns: int = SEGMENT_TURNS,
+    spark: SparkSession, folder: str, tokens: SpecialTokens = SpecialTokens()
 ) -> DataFrame:
-    """One marked text per conversation segment (conv_id, segment, text); no system turns."""
-    marker = F.when(F.col("role") == "user", tokens.user_marker).otherwise(tokens.bot_marker)
-    piece = F.concat(marker, F.col("text"), F.lit(tokens.end_marker))
+    """One marked text per conversation (conv_id, text).
+
+    A conversation is one text, however many turns it has. A system turn becomes the head of
+    the turn after it.
+    """
+    role = F.col("role")
+    piece = F.when(role == "system", F.concat("text", F.lit("\n"))).otherwise(
+        F.concat(
+            F.when(role == "user", tokens.user_marker).otherwise(tokens.bot_marker),
+            F.col("text"),
+            F.lit(tokens.end_marker),
+        )
+    )
     turns = F.sort_array(F.collect_list(F.struct("turn", piece.alias("piece"))))
     return (
-        _segments(spark, folder, segment_turns)
-        .filter(F.col("role") != "system")
-        .groupBy("conv_id", "segment")
+        table(spark, folder, "conversations")
+        .groupBy("conv_id")
         .agg(turns.alias("turns"))
-        .select("conv_id", "segment", F.array_join(F.col("turns.piece"), "").alias("text"))
+        .select("conv_id", F.array_join(F.col("turns.piece"), "").alias("text"))
     )
 
 
-def conversations(
-    spark: SparkSession, folder: str, segment_turns: int = SEGMENT_TURNS
-) -> DataFrame:
-    """Conversation segments as arrays of (role, content), system turns kept."""
+def conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as arrays of (role, content), system turns kept."""
     turn = F.struct("turn", "role", F.col("text").alias("content"))
     return (
-        _segments(spark, folder, segment_turns)
-        .groupBy("conv_id", "segment")
+        table(spark, folder, "conversations")
+        .groupBy("conv_id")
         .agg(F.sort_array(F.collect_list(turn)).alias("turns"))
         .select(
             "conv_id",
-            "segment",
             F.transform(
                 "turns",
                 lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")),

@@ -10,6 +10,9 @@ from corpusloom.operators.telemetry import is_finite, nonfinite_streaks
 
 METRICS_SCHEMA = "run_id BIGINT, micro BIGINT, ts_us BIGINT, loss DOUBLE"
 
+# Triggers after which the states of all runs are written together.
+_FULL_STATE_EVERY = 16
+
 _STATE_SCHEMA = "run_id BIGINT, last_finite BIGINT, aborted BOOLEAN"
 
 
@@ -34,17 +37,18 @@ def _carry_streaks(batch: DataFrame, state: DataFrame, settings: Settings) -> Da
     )
 
 
-def _advance(batch: DataFrame, state: DataFrame, alerts: DataFrame) -> DataFrame:
+def _advance(batch: DataFrame, alerts: DataFrame) -> DataFrame:
     finite = F.when(is_finite(F.col("loss")), F.col("micro"))
     seen = batch.groupBy("run_id").agg(F.max(finite).alias("last_finite"))
     flagged = alerts.select("run_id", F.lit(True).alias("aborted"))
-    update = seen.join(flagged, "run_id", "left").withColumn(
+    return seen.join(flagged, "run_id", "left").withColumn(
         "aborted", F.coalesce("aborted", F.lit(False))
     )
-    return (
-        state.unionByName(update)
-        .groupBy("run_id")
-        .agg(F.max("last_finite").alias("last_finite"), F.max("aborted").alias("aborted"))
+
+
+def _newest(states: DataFrame) -> DataFrame:
+    return states.groupBy("run_id").agg(
+        F.max("last_finite").alias("last_finite"), F.max("aborted").alias("aborted")
     )
 
 
@@ -58,8 +62,9 @@ def stream_abort(
 ) -> DataFrame:
     """Read new metrics files and return the alerts of all triggers so far.
 
-    State is one small row per run, written as one table version per trigger. A trigger that
-    is run again overwrites its own version and alerts, so each alert is given once. Rows of a
+    State is one small row per run. A trigger writes those of its own runs only; every
+    sixteenth writes all, and earlier ones are not read any more. A trigger that is run again
+    overwrites its own state and alerts, so each alert is given once. Rows of a
     run must reach the stream in order from trigger to trigger; inside one they are sorted
     by the operator, in blocks, so a run may hold any share of the trigger.
     """
@@ -69,10 +74,13 @@ def stream_abort(
 
     def handle(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        if number == 0:
-            state = session.createDataFrame([], _STATE_SCHEMA)
+        batch = batch.persist()
+        first = max(0, number - 1) // _FULL_STATE_EVERY * _FULL_STATE_EVERY
+        written = [version("state", k) for k in range(first, number)]
+        if written:
+            state = _newest(session.read.schema(_STATE_SCHEMA).parquet(*written))
         else:
-            state = session.read.schema(_STATE_SCHEMA).parquet(version("state", number - 1))
+            state = session.createDataFrame([], _STATE_SCHEMA)
         fresh = (
             _carry_streaks(batch, state, settings)
             .filter((F.col("streak") >= limit) & ~F.col("aborted"))
@@ -81,7 +89,11 @@ def stream_abort(
         )
         fresh.write.mode("overwrite").parquet(version("alerts", number))
         alerts = session.read.parquet(version("alerts", number))
-        _advance(batch, state, alerts).write.mode("overwrite").parquet(version("state", number))
+        update = _advance(batch, alerts)
+        if number and number % _FULL_STATE_EVERY == 0:
+            update = _newest(state.unionByName(update))
+        update.write.mode("overwrite").parquet(version("state", number))
+        batch.unpersist()
 
     reader = spark.readStream.schema(METRICS_SCHEMA)
     if files_per_trigger:

@@ -168,6 +168,33 @@ def test_resume_golden(spark):
     assert (row["epoch"], row["batch_no"], row["next_step"], row["steps_left"]) == (1, 0, 4, 2)
 
 
+def test_remaining_steps_are_those_of_the_plan(spark):
+    settings = Settings(world_size=1, batch_size=1, accumulation=2, epochs=2.5)
+    summary = steps.plan_summary(prepared(spark, 50), settings)
+    states = spark.createDataFrame(
+        [("a", "pretrain", 3), ("b", "pretrain", 0), ("c", "pretrain", 10_000)],
+        "owner STRING, phase STRING, global_step BIGINT",
+    )
+    plan = {r["step"]: (r["epoch"], r["first_batch"], r["last_batch"]) for r in steps.step_plan(summary, settings).collect()}
+    got = {}
+    for r in steps.remaining_steps(summary, states, settings).collect():
+        got.setdefault(r["owner"], {})[r["step"]] = (r["epoch"], r["first_batch"], r["last_batch"])
+    assert got == {"a": {s: v for s, v in plan.items() if s > 3}, "b": plan}
+
+
+def test_collate_carries_columns_and_keeps_rows_together(spark):
+    encoded = spark.createDataFrame([(i, [i], "p") for i in range(40)], "k BIGINT, ids ARRAY<INT>, phase STRING")
+    plan = spark.createDataFrame(
+        [(i, e, 0, i // 4) for i in range(40) for e in range(2)], "k BIGINT, epoch INT, rank INT, batch_no BIGINT"
+    )
+    out = encoding.collate(
+        encoded, plan, ["k"], encoding.CollateIds(pad=1), together=[F.col("epoch"), F.col("rank")]
+    )
+    rows = out.withColumn("part", F.spark_partition_id()).collect()
+    assert len(rows) == 80 and {r["phase"] for r in rows} == {"p"}
+    assert len({(r["epoch"], r["part"]) for r in rows}) == 2
+
+
 @pytest.mark.parametrize(
     "warmup, expected",
     [(0, [1, 0.853553391, 0.5, 0.146446609, 0]), (2, [0, 0.5, 1, 0.5, 0])],

@@ -170,6 +170,41 @@ def test_python_processor_quarantine(spark):
     }
 
 
+def reasons(spark, values, processor):
+    frame = spark.createDataFrame(list(enumerate(values)), "i INT, text STRING")
+    out = prepare.quarantine(frame, processor, True)
+    return [(r["result"], r["reject_reason"]) for r in out.orderBy("i").collect()]
+
+
+def test_a_failing_sql_expression_rejects_the_row(spark):
+    got = reasons(spark, ["12", "abc", ""], "cast(cast(text AS INT) + 1 AS STRING)")
+    assert got == [("13", None), (None, "null_result"), (None, "blank")]
+    assert reasons(spark, ["0", "4"], "8 div cast(text AS INT)") == [(None, "null_result"), ("2", None)]
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    with pytest.raises(ValueError):
+        prepare.sql_processor("raise_error(text)")
+
+
+def test_a_python_result_that_is_no_text_rejects_the_row(spark):
+    processor = prepare.python_processor(lambda value, tokens, instruct: 5 if value == "x" else value)
+    assert reasons(spark, ["x", "y"], processor) == [(None, "error"), ("y", None)]
+
+
+def test_built_ins_tell_errors_from_blanks(spark):
+    deep = '{"content":"deep","x":' + "[" * 1_500 + "]" * 1_500 + "}"
+    long = json.dumps({"content": "a" * 20_100_000})
+    got = reasons(spark, ['{"content":"a"}', "bad", '{"content":5}', " ", long], "json_content")
+    assert got[:4] == [("<s>a</s>", None), (None, "error"), (None, "error"), (None, "blank")]
+    assert len(got[4][0]) == 20_100_007
+    ((result, _),) = reasons(spark, [deep], "json_content")
+    try:
+        json.loads(deep)
+        assert result == "<s>deep</s>"
+    except RecursionError:
+        assert result is None
+    assert reasons(spark, ["a\n\nb\nc"], "line_chat") == [(None, "error")]
+
+
 def test_empty_batch_fails_in_strict_mode(spark):
     frame = spark.createDataFrame(
         [(i, " " if 10 <= i < 20 else "a") for i in range(25)], "doc_id BIGINT, text STRING"

@@ -10,7 +10,7 @@ from corpusloom.functions import symbols
 from corpusloom.operators.prepare import prepare
 from corpusloom.plans import jobs
 from corpusloom.sources import run_state, tables, views
-from corpusloom.sources.tokenizer_store import load_tokenizer
+from corpusloom.sources.tokenizer_store import Tokenizer, load_tokenizer, save_tokenizer
 from corpusloom.streaming.prepare import stream_prepare
 
 TOKENS = SpecialTokens()
@@ -55,17 +55,27 @@ def test_stream_equals_batch_over_several_files(spark, data, tmp_path):
     assert got.select("doc_id", "text").exceptAll(batch.select("doc_id", "text")).count() == 0
 
 
-def test_long_conversations_are_cut_into_segments(spark, tmp_path):
-    turns = [(1, t, "user" if t % 2 == 0 else "assistant", f"t{t}") for t in range(1000)]
+def test_a_long_conversation_is_one_text(spark, tmp_path):
+    turns = [(1, 0, "system", "be brief")]
+    turns += [(1, t, "user" if t % 2 else "assistant", f"t{t}") for t in range(1, 1001)]
     turns += [(2, 0, "user", "a"), (2, 1, "assistant", "b")]
     spark.createDataFrame(turns, "conv_id BIGINT, turn BIGINT, role STRING, text STRING").write.parquet(
         str(tmp_path / "conversations.parquet")
     )
-    rows = views.chat_texts(spark, str(tmp_path), TOKENS, segment_turns=64).collect()
-    assert len(rows) == 17
-    whole = "".join(r["text"] for r in sorted(rows, key=lambda r: r["segment"]) if r["conv_id"] == 1)
-    assert whole.count("<|end|>") == 1000
-    assert [whole.index(f"t{t}<") for t in range(1000)] == sorted(whole.index(f"t{t}<") for t in range(1000))
+    rows = {r["conv_id"]: r["text"] for r in views.chat_texts(spark, str(tmp_path), TOKENS).collect()}
+    assert len(rows) == 2
+    prompts = prepare(
+        spark.createDataFrame(list(rows.items()), "conv_id BIGINT, text STRING"), "default", True, TOKENS
+    )
+    got = {r["conv_id"]: r["text"] for r in prompts.collect()}
+    # The plain loop over the parts between end markers, two by two.
+    parts = rows[1].split("<|end|>")
+    wanted = "<s>"
+    for i in range(0, len(parts) - 1, 2):
+        wanted += f"<|user|>\n{parts[i].replace('<|user|>', '').strip()}<|end|>\n"
+        wanted += f"<|bot|>\n{parts[i + 1].replace('<|bot|>', '').strip()}<|end|>\n</s>"
+    assert got[1] == wanted
+    assert wanted.count("<|user|>") == 500 and "be brief\nt1" in wanted
 
 
 def state(spark, rows):
@@ -144,21 +154,85 @@ def test_prepare_job_can_refuse_an_empty_batch(spark, tmp_path):
     assert tables.read_prepared(spark, target).count() == 50
 
 
-def test_a_cluster_must_name_its_checkpoint_folder():
-    class Context:
-        master = "spark://host"
+def test_checkpoints_go_below_the_warehouse_unless_named():
+    made = []
 
+    class Context:
         @staticmethod
         def getCheckpointDir():
             return None
 
-    class Conf:
         @staticmethod
-        def get(key, default=None):
-            return default
+        def setCheckpointDir(path):
+            made.append(path)
+
+    class Conf:
+        known = {"spark.sql.warehouse.dir": "store://warehouse/"}
+
+        @classmethod
+        def get(cls, key, *default):
+            return cls.known.get(key, *default)
 
     class Session:
         sparkContext, conf = Context, Conf
 
-    with pytest.raises(RuntimeError):
-        session.checkpoint_root(Session)
+    assert session.checkpoint_root(Session) == "store://warehouse/_scratch"
+    Conf.known["spark.checkpoint.dir"] = "store://shared"
+    assert session.checkpoint_root(Session) == "store://shared"
+    assert made == ["store://warehouse/_scratch", "store://shared"]
+
+
+def test_two_phases_in_one_target(spark, data, tmp_path):
+    target = str(tmp_path / "prepared")
+    jobs.prepare_job(spark, paths(data), target)
+    jobs.prepare_job(spark, paths(data), target, instruct=True)
+    jobs.prepare_job(spark, paths(data), target)
+    counts = {r["phase"]: r["count"] for r in tables.read_prepared(spark, target).groupBy("phase").count().collect()}
+    assert counts == {"pretrain": 200, "instruct": 200}
+
+
+def test_a_failed_write_leaves_the_last_state(spark, tmp_path):
+    path = str(tmp_path / "state")
+    run_state.write_state(state(spark, [("k", "a", 1, False, 1)]), path)
+    broken = state(spark, [("k", "a", 2, False, 2)]).withColumn(
+        "global_step", F.expr("global_step / (global_step - 2)").cast("bigint")
+    )
+    with pytest.raises(Exception):
+        run_state.write_state(broken, path)
+    table = run_state.read_state(spark, path)
+    assert [r["global_step"] for r in table.collect()] == [1]
+    run_state.write_state(run_state.upsert_state(table, state(spark, [("k", "a", 3, True, 3)])), path)
+    assert [r["global_step"] for r in run_state.read_state(spark, path).collect()] == [3]
+
+
+def test_states_are_stamped_by_the_engine(spark):
+    progress = spark.createDataFrame(
+        [("a", 3, False, 1, None), ("b", 4, True, 2, "mine")],
+        "owner STRING, global_step BIGINT, completed BOOLEAN, updated_at BIGINT, chosen STRING",
+    )
+    rows = run_state.stamp_state(progress, F.col("chosen")).collect()
+    assert [r["stamped_owner"] for r in rows] == ["a", "b"]
+    assert rows[1]["state_key"] == "mine" and len(rows[0]["state_key"]) == 64
+
+
+def test_special_tokens_from_json():
+    tokens = SpecialTokens.from_json('{"bos_token": "[B]", "additional_special_tokens": ["<x>"]}')
+    assert (tokens.bos, tokens.eos, tokens.extra) == ("[B]", "</s>", ("<x>",))
+    assert (tokens.user_marker, tokens.bot_marker, tokens.end_marker) == ("<x>", None, None)
+
+
+def test_few_extra_tokens_wrap_every_text(spark):
+    frame = spark.createDataFrame([("a<|end|>b<|end|>",)], "text STRING")
+    out = prepare(frame, "default", True, SpecialTokens(extra=()))
+    assert [r["text"] for r in out.collect()] == ["<s>a<|end|>b<|end|></s>"]
+
+
+def test_saving_without_words_leaves_no_old_ones(spark, tmp_path):
+    vocab = spark.createDataFrame([(0, "a", False)], "id INT, token STRING, special BOOLEAN")
+    merges = spark.createDataFrame([], "rank INT, left STRING, right STRING, merged STRING")
+    words = spark.createDataFrame([("a", 1, [0])], "word STRING, n BIGINT, ids ARRAY<INT>")
+    path = str(tmp_path / "tokenizer")
+    save_tokenizer(Tokenizer(vocab, merges, words), path)
+    assert load_tokenizer(spark, path).word_tokens.count() == 1
+    save_tokenizer(Tokenizer(vocab, merges), path)
+    assert load_tokenizer(spark, path).word_tokens.count() == 0

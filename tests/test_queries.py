@@ -4,16 +4,20 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import compare
+from checks.oracles import all_oracles
+from checks.queries import all_queries
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, data, name):
-    ok, note = compare(spark, data, queries()[name], oracle_sql()[name])
+    ok, note = compare(spark, data, all_queries()[name], all_oracles()[name])
     assert ok, note
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
+    assert set(all_queries()) <= set(queries())
+    assert set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):

@@ -115,6 +115,27 @@ def test_summary_golden(spark):
     assert (row["training_loss"], row["mean_micro_loss"], row["global_step"]) == (8.0, 4.0, 2)
 
 
+@pytest.mark.parametrize("losses", [[1e30, 4.0, 1e30, -1e30], [4e-10] * 4, [0.1] * 2500])
+def test_any_finite_loss_is_summed_as_by_the_loop(spark, losses):
+    run_shape = shape(accumulation=2, every=1, total=5000)
+    rows = telemetry.log_windows(log(spark, {1: losses}), run_shape).orderBy("step").collect()
+    assert [r["mean_loss"] for r in rows] == [
+        (0.0 + a + b) / 2 for a, b in zip(losses[::2], losses[1::2], strict=True)
+    ]
+    row = telemetry.run_summary(log(spark, {1: losses}), run_shape).first()
+    assert row["mean_micro_loss"] == pytest.approx(math.fsum(losses) / len(losses), rel=1e-9)
+    assert row["training_loss"] == pytest.approx(math.fsum(losses) / (len(losses) // 2), rel=1e-9)
+
+
+def test_report_has_step_metrics_and_speed(spark):
+    frame = log(spark, {1: [0.5] * 10})
+    row = telemetry.metrics_report(frame, shape(every=1, total=10), Settings()).first()
+    lines = row["report"].split("\n")
+    assert lines[0] == f"Step {row['step']}/10"
+    assert lines[1].startswith("loss: 0.5000 | learning_rate: ")
+    assert lines[2] == "Speed: 8.00 samples/s | 1.00 steps/s"
+
+
 def test_summary_without_a_step(spark):
     row = telemetry.run_summary(log(spark, {1: [NAN]}), shape(accumulation=2)).first()
     assert (row["training_loss"], row["mean_micro_loss"], row["global_step"]) == (0.0, None, 0)

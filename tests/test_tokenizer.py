@@ -1,6 +1,7 @@
 """Tokenizer training and encoding against brute force and a public tokenizer library."""
 
 import random
+import time
 from collections import Counter
 
 import pytest
@@ -83,8 +84,26 @@ def test_vocab_counts_a_token_once(spark):
     assert [(r["id"], r["token"]) for r in rows] == [(261, "ab"), (262, "bc"), (263, "abc")]
 
 
+def test_a_long_word_is_merged_in_time():
+    rng = random.Random(4)
+    word = "".join(rng.choice("abcdefgh") for _ in range(200_000))
+    ids = {c: 10 + i for i, c in enumerate("abcdefgh")}
+    merges = [(a, b, a + b) for a in "abcd" for b in "efgh"]
+    ids |= {m[2]: 100 + i for i, m in enumerate(merges)}
+    table = encoding.merge_table(merges, ids)
+    started = time.process_time()
+    out = encoding.replay_merges("".join(symbols.symbol(ids[c]) for c in word), table)
+    assert time.process_time() - started < 5
+    spelled = {v: k for k, v in ids.items()}
+    assert "".join(spelled[symbols.symbol_id(c)] for c in out) == word
+
+
 def test_wide_and_narrow_pairs_agree(spark):
+    far = "".join(symbols.symbol(i) for i in (70_000, 5, 65_000, 70_000))
     frame = spark.createDataFrame([("abcd",), ("a",), ("",), ("aaa",)], "symbols STRING")
+    above = spark.createDataFrame([(far,)], "symbols STRING")
+    (row,) = above.select(symbols.symbol_pairs(F.col("symbols"), 80_000).alias("p")).collect()
+    assert row["p"] == [far[i : i + 2] for i in range(3)]
     narrow = symbols.symbol_pairs(F.col("symbols"), 1000)
     wide = symbols.symbol_pairs(F.col("symbols"), symbols.NARROW_IDS + 1)
     for row in frame.select(narrow.alias("a"), wide.alias("b")).collect():
