@@ -66,6 +66,13 @@ def byte_ids(text: Column) -> Column:
     return F.when(text == "", empty).otherwise(each)
 
 
+def symbol_ids(symbols: Column) -> Column:
+    """The ids that a string of symbols stands for."""
+    point = lambda c: F.ascii(c)
+    skipped = lambda c: F.when(point(c) >= _SURROGATES, _SURROGATE_COUNT).otherwise(0)
+    return F.transform(F.split(symbols, ""), lambda c: point(c) - skipped(c) - _OFFSET)
+
+
 # Ids that have a character of one UTF-16 unit.
 NARROW_IDS = 0x10000 - _SURROGATE_COUNT - _OFFSET
 

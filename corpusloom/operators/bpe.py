@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.config import Settings
@@ -13,9 +13,9 @@ from corpusloom.functions.symbols import (
     byte_order,
     byte_symbols,
     symbol,
+    symbol_ids,
     symbol_pairs,
 )
-from corpusloom.operators.encoding import encode_words
 from corpusloom.operators.vocabulary import vocab_from_merges
 from corpusloom.session import scratch_path
 from corpusloom.sources.tokenizer_store import Tokenizer
@@ -58,15 +58,10 @@ def _independent_prefix(
     return accepted
 
 
-def _leading_pairs(current: DataFrame, settings: Settings) -> list[tuple[str, int]]:
+def _leading_pairs(counts: DataFrame, settings: Settings) -> list[tuple[str, int]]:
     """The most frequent pairs, ties by their ids."""
     rows = (
-        current.select(
-            F.explode(symbol_pairs(F.col("symbols"), settings.vocab_size)).alias("pair"), "n"
-        )
-        .groupBy("pair")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= settings.min_frequency)
+        counts.filter(F.col("n") >= settings.min_frequency)
         .orderBy(F.desc("n"), "pair")
         .limit(_ROUND_PAIRS)
         .collect()
@@ -74,55 +69,105 @@ def _leading_pairs(current: DataFrame, settings: Settings) -> list[tuple[str, in
     return [(row["pair"], row["n"]) for row in rows]
 
 
-def _write_words(spark: SparkSession, words: DataFrame, slot: int, base: str) -> DataFrame:
-    path = f"{base}/{slot % 2}"
-    words.filter(F.length("symbols") > 1).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def _pairs_of(words: DataFrame, symbols: Column, n: Column, settings: Settings) -> DataFrame:
+    return words.select(
+        F.explode(symbol_pairs(symbols, settings.vocab_size)).alias("pair"), n.alias("n")
+    )
 
 
-def learn_merges(words: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Merges by rank, as one merge at a time would give them.
+class _Training:
+    """Words and pair counts between two rounds, each in alternating scratch tables.
 
-    words(word, n) are distinct. The most frequent pair comes first, ties by the smaller left
-    id, then right id. Words live in two alternating scratch tables, so the plan stays short.
-    The driver sees only the leading pairs of a round and the merges, bounded by vocab_size.
+    Words keep the symbols of the last writing; merges learned since are replayed on reading.
     """
-    spark = words.sparkSession
+
+    def __init__(self, words: DataFrame, settings: Settings) -> None:
+        self.spark, self.settings = words.sparkSession, settings
+        self.base = scratch_path(self.spark, "bpe")
+        self.slots = {"words": 0, "pairs": 0}
+        self.pending: list[tuple[str, str]] = []
+        # Rounds are bound by computing, not by size: use every core, however small the table.
+        width = max(
+            self.spark.sparkContext.defaultParallelism,
+            int(self.spark.conf.get("spark.sql.shuffle.partitions")),
+        )
+        lettered = words.select("word", "n", byte_symbols(F.col("word")).alias("symbols"))
+        self.words = self._write("words", lettered.repartition(width, "symbols"))
+        first = _pairs_of(self.words, F.col("symbols"), F.col("n"), settings)
+        self.counts = self._write("pairs", first.groupBy("pair").agg(F.sum("n").alias("n")))
+
+    def _write(self, kind: str, table: DataFrame) -> DataFrame:
+        self.slots[kind] += 1
+        path = f"{self.base}/{kind}/{self.slots[kind] % 2}"
+        table.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def current(self) -> DataFrame:
+        """All words with their symbols of now."""
+        return self.words.withColumn("symbols", apply_merges(F.col("symbols"), self.pending))
+
+    def merge(self, accepted: list[tuple[tuple[str, str], str]]) -> None:
+        """Apply the round's merges: only words that hold an accepted pair are counted anew.
+
+        Their old pairs are taken off the counts and their new ones added; what every task
+        changes is summed before the shuffle.
+        """
+        holds = "|".join(f"\\Q{pair}\\E" for pair, _ in accepted)
+        met = self.current().filter(F.col("symbols").rlike(holds))
+        merged = apply_merges(F.col("symbols"), accepted)
+        before = _pairs_of(met, F.col("symbols"), -F.col("n"), self.settings)
+        after = _pairs_of(met, merged, F.col("n"), self.settings)
+        changed = self.counts.unionByName(before).unionByName(after)
+        summed = changed.groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
+        self.counts = self._write("pairs", summed)
+        self.pending += accepted
+        if len(self.pending) >= _PENDING_MERGES:
+            self.words = self._write("words", self.current())
+            self.pending = []
+
+
+def _learn(
+    words: DataFrame, settings: Settings
+) -> tuple[list[tuple[str, str, str]], DataFrame]:
+    """Merges in order, and the training words with their final symbols."""
     visible = byte_characters()
     shown = {symbol(i): token for i, token in enumerate(settings.tokens.trained)}
     shown |= {symbol(SPECIAL_IDS + i): visible[b] for i, b in enumerate(byte_order())}
     known = {token: character for character, token in shown.items()}
-
-    base = scratch_path(spark, "bpe-words")
-    slot = 0
-    # Rounds are bound by computing, not by size: use every core, however small the table.
-    width = max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
-    lettered = words.select("n", byte_symbols(F.col("word")).alias("symbols"))
-    table = _write_words(spark, lettered.repartition(width, "symbols"), slot, base)
-    pending: list[tuple[str, str]] = []
-    rows: list[tuple[int, str, str, str]] = []
+    state = _Training(words, settings)
+    merges: list[tuple[str, str, str]] = []
     while len(shown) < settings.vocab_size:
-        current = table.select("n", apply_merges(F.col("symbols"), pending).alias("symbols"))
-        pairs = _leading_pairs(current, settings)
+        pairs = _leading_pairs(state.counts, settings)
         if not pairs:
             break
         accepted = _independent_prefix(pairs, shown, known, settings.vocab_size - len(shown))
-        for pair, merged in accepted:
-            rows.append((len(rows), shown[pair[0]], shown[pair[1]], shown[merged]))
-        pending += accepted
-        if len(pending) >= _PENDING_MERGES:
-            slot += 1
-            current = table.select("n", apply_merges(F.col("symbols"), pending).alias("symbols"))
-            table = _write_words(spark, current, slot, base)
-            pending = []
-    return spark.createDataFrame(rows, _MERGE_SCHEMA)
+        merges += [(shown[p[0]], shown[p[1]], shown[m]) for p, m in accepted]
+        state.merge(accepted)
+    return merges, state.current()
+
+
+def _merge_rows(spark: SparkSession, merges: list[tuple[str, str, str]]) -> DataFrame:
+    return spark.createDataFrame(
+        [(rank, *merge) for rank, merge in enumerate(merges)], _MERGE_SCHEMA
+    )
+
+
+def learn_merges(words: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Merges by rank, as one merge at a time would give them.
+
+    words(word, n) are distinct. The most frequent pair comes first, ties by the smaller left
+    id, then right id. The driver sees only the leading pairs of a round and the merges,
+    bounded by vocab_size.
+    """
+    return _merge_rows(words.sparkSession, _learn(words, settings)[0])
 
 
 def train_bpe(words: DataFrame, settings: Settings = Settings()) -> Tokenizer:
-    """Train a byte-level tokenizer from counted distinct words(word, n)."""
-    spark = words.sparkSession
-    merges = learn_merges(words, settings)
-    vocab = vocab_from_merges(spark, merges, settings.tokens)
-    return Tokenizer(vocab, merges, encode_words(words, vocab, merges))
+    """Train a byte-level tokenizer from counted distinct words(word, n).
+
+    The words' encodings are their symbols at the end of training: nothing is merged again.
+    """
+    merges, final = _learn(words, settings)
+    rows = _merge_rows(words.sparkSession, merges)
+    vocab = vocab_from_merges(words.sparkSession, rows, settings.tokens)
+    return Tokenizer(vocab, rows, final.select("word", "n", symbol_ids(F.col("symbols")).alias("ids")))
