@@ -20,7 +20,7 @@ from corpusloom.streaming.prepare import stream_prepare as run_stream_prepare
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENS = SpecialTokens()
-SETTINGS = Settings(world_size=3, epochs=2.5, max_length=1024, vocab_size=293)
+SETTINGS = Settings(world_size=3, epochs=2.5, vocab_size=293)
 EPOCHS = 3
 SHAPE = telemetry.RunShape(
     batches_per_epoch=15, accumulation=2, logging_steps=3, total_steps=21

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.session import checkpoint_root
+from corpusloom.session import scratch_path
 
 _LOCAL_BITS = 33
 
@@ -21,14 +21,13 @@ def ordinals(df: DataFrame, order: Sequence[str], name: str, by: Sequence[str] =
     """Add the 0-based position of each row, within its group, in the given order.
 
     One range shuffle on the full sort key spreads a hot group over many partitions.
-    The row number inside a partition is pinned by a checkpoint, as the sampled bounds of
+    The row number inside a partition is pinned by a scratch table, as the sampled bounds of
     a range shuffle may differ when it is computed again. Pass slim rows, without texts.
     """
-    checkpoint_root(df.sparkSession)
-    by = list(by)
-    pinned = (
-        df.orderBy(*by, *order).withColumn("__row", F.monotonically_increasing_id()).checkpoint()
-    )
+    by, path = list(by), scratch_path(df.sparkSession, "ordinals")
+    numbered = df.orderBy(*by, *order).withColumn("__row", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    pinned = df.sparkSession.read.schema(numbered.schema).parquet(path)
     placed = pinned.withColumn("__part", F.shiftrightunsigned("__row", _LOCAL_BITS))
     counts = placed.groupBy(*by, "__part").agg(
         F.count("*").alias("__n"), F.min("__row").alias("__first")
