@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -46,12 +47,17 @@ def words(text: str | None) -> set[str]:
     return set(_WORDS(text.lower())) if text else set()
 
 
-def buckets(word: str) -> bytes:
-    """The hashed buckets of one word, itself and its beginnings, as packed numbers."""
-    mask = (1 << BUCKET_BITS) - 1
+def _hashed(word: str) -> list[int]:
+    """The hashed buckets of one word, itself and its beginnings."""
+    mask, n = (1 << BUCKET_BITS) - 1, len(word)
     data = [b"=" + word.encode()]
-    data += [b"^" + word[:n].encode() for n in PREFIXES if len(word) >= n]
-    return np.array([crc32(x) & mask for x in data], dtype="<i4").tobytes()
+    data += [b"^" + word[:k].encode() for k in PREFIXES if n >= k]
+    return [crc32(x) & mask for x in data]
+
+
+def buckets(word: str) -> bytes:
+    """The hashed buckets of one word as packed numbers."""
+    return array("i", _hashed(word)).tobytes()
 
 
 def terms(packed: bytes) -> np.ndarray:
@@ -198,18 +204,19 @@ def train_toxicity(
 def toxicity_score(text: Column, model: FactorizationMachine) -> Column:
     """The probability of the label, a double between 0 and 1."""
 
-    relevant = np.unique(model.terms // 4).astype("<i4")
+    name, relevant = model.name, frozenset((model.terms // 4).tolist())
 
     def relevant_buckets(word: str) -> bytes:
-        own = np.frombuffer(buckets(word), "<i4")
-        return own[np.isin(own, relevant)].tobytes()
+        own = relevant.intersection(found := _hashed(word))
+        return array("i", [b for b in found if b in own]).tobytes() if own else b""
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        store, key = worker_store(), ("toxicity", model.name)
-        if key not in store:
-            store[key] = Memory(relevant_buckets)
-        memory = store[key]
+        # One memory, of the last model: its words mean nothing to another one.
+        store = worker_store()
+        if store.get("toxicity", ("",))[0] != name:
+            store["toxicity"] = (name, Memory(relevant_buckets))
+        memory = store["toxicity"][1]
         none = model.score(np.zeros(0, dtype=np.int64))
         out = []
         for text in texts.to_pylist():
