@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shared import stored
+from corpusloom.llm.shared import hash_sample, stored
 
 #: Vectors the pivots are chosen from, pivots, and pivots that represent a vector.
 PIVOT_SAMPLE = 2_048
@@ -149,7 +149,7 @@ def nearest(
         F.col("embedding").cast("array<double>").alias("vector"),
         is_query.alias("asks"),
     )
-    sample = fine.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).collect()
+    sample = hash_sample(fine, "vec_id", PIVOT_SAMPLE).collect()
     if not sample:
         return spark.createDataFrame([], schema)
     dimension = len(sample[0]["vector"])

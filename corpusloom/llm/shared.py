@@ -40,6 +40,19 @@ def training_side() -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % 3 != 1
 
 
+def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """At most `limit` rows, those with the smallest hash of the key.
+
+    Where there are many more, all but a few times the limit are left out by their hash before
+    anything is ordered, so that what tasks send on does not grow with their number.
+    """
+    hashed, parts = F.xxhash64(key), 1 << 30
+    n = df.count()
+    if n > 8 * limit:
+        df = df.filter(F.pmod(hashed, F.lit(parts)) < max(1, parts * 4 * limit // n))
+    return df.orderBy(F.pmod(hashed, F.lit(parts)), key).limit(limit)
+
+
 def labelled_sample(
     documents: DataFrame, labels: DataFrame, label: str, limit: int
 ) -> DataFrame:
@@ -49,12 +62,11 @@ def labelled_sample(
     one document the largest counts; rows without document id or label are left out.
     The chosen ids are bounded by `limit`, which is what makes their broadcast safe.
     """
-    chosen = (
+    usable = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
         .filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & training_side())
         .groupBy("doc_id")
         .agg(F.max("label").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(limit)
     )
+    chosen = hash_sample(usable, "doc_id", limit)
     return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
