@@ -57,20 +57,21 @@ def _frequent_pairs(keys: np.ndarray, at_most: int) -> np.ndarray:
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places whose key is wanted, and the index of that key; by a table of hashed keys."""
-    bits = max(12, int(len(wanted)).bit_length() + 5)
-    factor, shift = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - bits)
-    slots = np.zeros(1 << bits, dtype=bool)
-    slots[((wanted.astype(np.uint64) * factor) >> shift).astype(np.int64)] = True
-    maybe = np.flatnonzero(slots[((keys.astype(np.uint64) * factor) >> shift).astype(np.int64)])
-    index = np.searchsorted(wanted, keys[maybe])
-    index[index == len(wanted)] = 0
+    kind, width = keys.dtype.type, 8 * keys.dtype.itemsize
+    factor, shift = kind(0x9E3779B1 if width == 32 else 0x9E3779B97F4A7C15), kind(width - 16)
+    slots = np.full(1 << 16, -1, dtype=np.int16)
+    # Of two pairs on one slot the later one has it; the other can have it in the next round.
+    slots[(wanted * factor) >> shift] = np.arange(len(wanted), dtype=np.int16)
+    index = slots[(keys * factor) >> shift]
+    maybe = np.flatnonzero(index >= 0)
+    index = index[maybe]
     right = wanted[index] == keys[maybe]
     return maybe[right], index[right]
 
 
 def compress(ids: np.ndarray, rounds: int = ROUNDS) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     """The first nonterminal, the rules (pairs of symbols), their lengths, the symbols left."""
-    symbols = ids.astype(np.uint32)
+    symbols = ids.astype(np.uint32)  # a copy, changed in place
     first = int(symbols.max()) + 1 if len(symbols) else 1
     rules: list[np.ndarray] = []
     lengths = np.ones(first, dtype=np.int64)
@@ -91,12 +92,12 @@ def compress(ids: np.ndarray, rounds: int = ROUNDS) -> tuple[int, np.ndarray, np
         within = np.arange(len(at)) - np.repeat(begins, np.diff(np.append(begins, len(at))))
         chosen = within % 2 == 0
         at, which = at[chosen], which[chosen]
-        used, which = np.unique(which, return_inverse=True)
-        pairs = np.stack([symbols[:-1][at], symbols[1:][at]], axis=1)
-        fresh = np.zeros((len(used), 2), dtype=np.uint32)
-        fresh[which] = pairs
-        symbols = symbols.copy()
-        symbols[at] = (len(lengths) + which).astype(np.uint32)
+        met = np.bincount(which, minlength=len(wanted)) > 0
+        place = (len(lengths) - 1 + np.cumsum(met)).astype(np.uint32)
+        used = wanted[met]
+        low = wanted.dtype.type((1 << int(step)) - 1)
+        fresh = np.stack([used >> step, used & low], axis=1).astype(np.uint32)
+        symbols[at] = place[which]
         left = np.ones(len(symbols), dtype=bool)
         left[at + 1] = False
         symbols = symbols[left]
@@ -140,7 +141,20 @@ class Shard:
             symbols = out
 
     def all_ids(self) -> np.ndarray:
-        return self._expand(self.symbols)
+        """All ids: every rule is expanded once, then copied to where its symbol stands."""
+        whole = self._expand(np.arange(self.first, self.first + len(self.rules), dtype=np.uint32))
+        offsets = np.cumsum(self.lengths) - self.lengths
+        inner = self.symbols >= self.first
+        rule = self.symbols[inner].astype(np.int64) - self.first
+        sizes = np.ones(len(self.symbols), dtype=np.int64)
+        sizes[inner] = self.lengths[rule]
+        places = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), dtype=np.uint32)
+        out[places[~inner]] = self.symbols[~inner]
+        spans = sizes[inner]
+        within = np.arange(int(spans.sum())) - np.repeat(np.cumsum(spans) - spans, spans)
+        out[np.repeat(places[inner], spans) + within] = whole[np.repeat(offsets[rule], spans) + within]
+        return out
 
     def ids(self, start: int, stop: int) -> np.ndarray:
         """The ids from start to stop, expanding only the symbols that cover them."""
@@ -195,9 +209,15 @@ def write_tokens(
             yield close()
 
     (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id")
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            "text",
+            F.monotonically_increasing_id().alias("row"),
+        )
+        # The row's place parts equal ids, so that no id fills a partition by itself.
+        .repartitionByRange("doc_id", "row")
+        .sortWithinPartitions("doc_id", "row")
+        .select("doc_id", "text")
         .mapInArrow(encode, _SCHEMA)
         .write.parquet(path)
     )
