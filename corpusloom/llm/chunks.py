@@ -14,7 +14,8 @@ from collections.abc import Callable, Iterable
 
 #: Chunks in either half of a memory. A full new half becomes the old one, whose chunks come
 #: back when they are met again, so that frequent ones stay.
-MEMORY_CHUNKS = 250_000
+MEMORY_CHUNKS = 300_000
+MEMORY_WORDS = 150_000
 #: Longer chunks are encoded and forgotten.
 MEMORY_CHARS = 48
 
@@ -31,9 +32,10 @@ def clean(chunk: str) -> bool:
 class Memory(dict):
     """A bounded memory of what a function makes of strings."""
 
-    def __init__(self, make: Callable[[str], bytes]) -> None:
+    def __init__(self, make: Callable[[str], bytes], limit: int = MEMORY_WORDS) -> None:
         super().__init__()
         self.make = make
+        self.limit = limit
         self.old: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
@@ -42,7 +44,7 @@ class Memory(dict):
             value = self.make(key)
             if len(key) > MEMORY_CHARS:
                 return value
-        if len(self) >= MEMORY_CHUNKS:
+        if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -53,9 +55,11 @@ class ChunkMemory(Memory):
     """From a chunk to the ids of a space and the chunk, as little-endian 32-bit numbers."""
 
     def __init__(self, encode: Callable[[str], bytes], word: Callable[[str], bytes]) -> None:
-        super().__init__(self._after_space)
+        super().__init__(self._after_space, MEMORY_CHUNKS)
         self.encode = encode
-        self.words = Memory(word)
+        self.word = word
+        self.words = Memory(lambda word: self.word(" " + word))
+        self.starts = Memory(self.word)
         self.marks = Memory(encode)
 
     def _after_space(self, chunk: str) -> bytes:
@@ -65,7 +69,15 @@ class ChunkMemory(Memory):
             return self.words[word] + self.marks[marks] if marks else self.words[word]
         if not clean(chunk):
             raise LooseSpace
-        return self.encode(" " + chunk)
+        # A single line feed between words is a piece of its own, and the next word starts bare.
+        lines = [PLAIN(line) for line in chunk.split("\n")]
+        if None in lines:
+            return self.encode(" " + chunk)
+        (first, marks), *rest = (line.groups() for line in lines)
+        out = [self.words[first], self.marks[marks]]
+        for word, marks in rest:
+            out += (self.marks["\n"], self.starts[word], self.marks[marks])
+        return b"".join(out)
 
     def ids(self, text: str) -> bytes:
         """The ids of a whole text."""
@@ -106,8 +118,8 @@ class LibraryEncoder:
         return b"".join([self._memory[piece] for piece, _ in self._pieces(text)])
 
     def word(self, word: str) -> bytes:
-        """The ids of a space and a plain word, which are one piece."""
-        return self._merged((b" " + word.encode()).decode("latin-1").translate(self._shown))
+        """The ids of a plain word, with or without a space before it, which is one piece."""
+        return self._merged(word.encode().decode("latin-1").translate(self._shown))
 
     def _merged(self, piece: str) -> bytes:
         return array("I", [token.id for token in self._merge(piece)]).tobytes()
