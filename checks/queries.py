@@ -35,7 +35,12 @@ JSON_SQL = (
 AUDIT_WORDS = (" heitachte", " inthe", " para")
 CUSTOM_SQL = "CASE WHEN contains(text, '\n') THEN concat(bos, replace(text, '\n', ' '), eos) END"
 
+#: The queries that train a tokenizer learn the operator's own vocabulary. Their SQL repeats all
+#: words for every merge, so it is held against SETTINGS.
+FULL = replace(SETTINGS, vocab_size=Settings().vocab_size)
+
 _QUERIES: dict[str, Query] = {}
+_FULL_QUERIES: dict[str, Query] = {}
 
 
 def _query(function: Query) -> Query:
@@ -46,6 +51,17 @@ def _query(function: Query) -> Query:
     return function
 
 
+def _training_query(function: Callable[[SparkSession, str, Settings], DataFrame]) -> Callable:
+    """A query that trains a tokenizer: with the full vocabulary, and with that of its SQL."""
+
+    def run(settings: Settings) -> Query:
+        return lambda spark, folder: function(apply_session_conf(spark), folder, settings)
+
+    _QUERIES[function.__name__] = run(SETTINGS)
+    _FULL_QUERIES[function.__name__] = run(FULL)
+    return function
+
+
 def _long(name: str) -> Column:
     return F.col(name).cast("bigint").alias(name)
 
@@ -128,10 +144,10 @@ def prepared_report(spark: SparkSession, folder: str) -> DataFrame:
     return tables.prepared_report(prepared, "source", "lang")
 
 
-@_query
-def vocab_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+@_training_query
+def vocab_roundtrip(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
     path = scratch_path(spark, "tokenizer")
-    tokenizer_store.save_tokenizer(_tokenizer(spark, folder), path)
+    tokenizer_store.save_tokenizer(_tokenizer(spark, folder, settings), path)
     loaded = tokenizer_store.load_tokenizer(spark, path)
     return loaded.vocab.select(_long("id"), "token", "special")
 
@@ -369,11 +385,13 @@ def _words(spark: SparkSession, folder: str, *by: str) -> DataFrame:
     return vocabulary.word_counts(corpus, *by)
 
 
-def _tokenizer(spark: SparkSession, folder: str) -> tokenizer_store.Tokenizer:
+def _tokenizer(
+    spark: SparkSession, folder: str, settings: Settings
+) -> tokenizer_store.Tokenizer:
     # Training and the encoding of the words each read the counts.
     path = scratch_path(spark, "word-counts")
     _words(spark, folder).write.parquet(path)
-    return bpe.train_bpe(spark.read.parquet(path), SETTINGS)
+    return bpe.train_bpe(spark.read.parquet(path), settings)
 
 
 @_query
@@ -401,22 +419,22 @@ def bpe_pair_counts(spark: SparkSession, folder: str) -> DataFrame:
     return vocabulary.pair_counts(vocabulary.byte_words(_words(spark, folder)))
 
 
-@_query
-def bpe_train(spark: SparkSession, folder: str) -> DataFrame:
-    return bpe.learn_merges(_words(spark, folder), SETTINGS).select(
+@_training_query
+def bpe_train(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+    return bpe.learn_merges(_words(spark, folder), settings).select(
         _long("rank"), "left", "right", "merged"
     )
 
 
-@_query
-def vocab_layout(spark: SparkSession, folder: str) -> DataFrame:
-    return _tokenizer(spark, folder).vocab.select(_long("id"), "token", "special")
+@_training_query
+def vocab_layout(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+    return _tokenizer(spark, folder, settings).vocab.select(_long("id"), "token", "special")
 
 
-@_query
-def vocab_sizes(spark: SparkSession, folder: str) -> DataFrame:
+@_training_query
+def vocab_sizes(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
     """Vocabulary size before and after the specials of each phase."""
-    vocab = _tokenizer(spark, folder).vocab
+    vocab = _tokenizer(spark, folder, settings).vocab
     out = tokenizer_store.vocab_size(vocab).withColumn("stage", F.lit("trained"))
     for phase in (tables.PRETRAIN, tables.INSTRUCT):
         grown = vocabulary.configure_vocab(vocab, phase == tables.INSTRUCT, TOKENS)
@@ -426,22 +444,22 @@ def vocab_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("stage", "n_tokens", "n_plain")
 
 
-@_query
-def extend_vocab(spark: SparkSession, folder: str) -> DataFrame:
-    vocab = _tokenizer(spark, folder).vocab
+@_training_query
+def extend_vocab(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+    vocab = _tokenizer(spark, folder, settings).vocab
     return vocabulary.extend_vocab(vocab, TOKENS.for_phase(True)).select(
         _long("id"), "token", "special"
     )
 
 
-@_query
-def token_ids(spark: SparkSession, folder: str) -> DataFrame:
+@_training_query
+def token_ids(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
     """The ids of the roles, and of every plain word of the documents that is one token."""
     path = scratch_path(spark, "word-counts")
     _words(spark, folder).write.parquet(path)
     words = spark.read.parquet(path)
     vocab = vocabulary.extend_vocab(
-        bpe.train_bpe(words, SETTINGS).vocab, TOKENS.for_phase(True)
+        bpe.train_bpe(words, settings).vocab, TOKENS.for_phase(True)
     )
     plain = words.filter(F.col("word").rlike("^[A-Za-z]+$")).select(
         F.col("word").alias("name"), F.col("word").alias("token")
@@ -517,9 +535,9 @@ def encode_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return both.select("phase", "key", _numbers("ids").alias("ids"))
 
 
-@_query
-def encode_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    tokenizer = _tokenizer(spark, folder)
+@_training_query
+def encode_bpe(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+    tokenizer = _tokenizer(spark, folder, settings)
     vocab = vocabulary.configure_vocab(tokenizer.vocab, True, TOKENS)
     encoded = encoding.encode(_prepared(spark, folder, heavy=True), vocab, tokenizer.merges)
     return encoded.select(
@@ -528,10 +546,10 @@ def encode_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@_query
-def word_tokens(spark: SparkSession, folder: str) -> DataFrame:
+@_training_query
+def word_tokens(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
     """The encoding of every distinct training word under the trained tokenizer."""
-    return _tokenizer(spark, folder).word_tokens.select("word", "n", _numbers("ids").alias("ids"))
+    return _tokenizer(spark, folder, settings).word_tokens.select("word", "n", _numbers("ids").alias("ids"))
 
 
 @_query
@@ -887,3 +905,8 @@ def custom_processor_py(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
+
+
+def full_queries() -> dict[str, Query]:
+    """The queries that train a tokenizer, with the operator's own vocabulary size."""
+    return dict(_FULL_QUERIES)

@@ -1,14 +1,18 @@
-"""Byte-pair training over distinct words, in rounds of provably independent merges."""
+"""Byte-pair training over distinct words, many merges a round."""
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.config import Settings
 from corpusloom.functions.symbols import (
     SPECIAL_IDS,
-    apply_merges,
     byte_characters,
     byte_order,
     byte_symbols,
@@ -16,54 +20,98 @@ from corpusloom.functions.symbols import (
     symbol_ids,
     symbol_pairs,
 )
+from corpusloom.operators.encoding import replay_merges
 from corpusloom.operators.vocabulary import vocab_from_merges
 from corpusloom.session import scratch_path
 from corpusloom.sources.tokenizer_store import Tokenizer
 
 _MERGE_SCHEMA = "rank INT, left STRING, right STRING, merged STRING"
 
-# Pairs looked at per round, and merges replayed before the words are written anew.
-_ROUND_PAIRS = 4096
-_PENDING_MERGES = 20
+# Leading pairs looked at in the first round and at most; later rounds follow what they meet.
+_ROUND_PAIRS = 1 << 9
+_MOST_PAIRS = 1 << 15
+# Symbols of distinct chains that the driver replays in one round.
+_CHAIN_SYMBOLS = 1 << 20
+# Distinct chains a task holds before it sends them on.
+_TASK_CHAINS = 1 << 17
+
+Merge = tuple[str, str]
+
+
+def chains_of(symbols: str, pairs: frozenset[str]) -> Iterator[str]:
+    """The longest stretches of at least two symbols whose neighbours are all pairs looked at."""
+    start, n = 0, len(symbols)
+    for at in range(1, n + 1):
+        if at == n or symbols[at - 1 : at + 1] not in pairs:
+            if at - start > 1:
+                yield symbols[start:at]
+            start = at
 
 
-def _independent_prefix(
-    pairs: list[tuple[str, int]], shown: dict[str, str], known: dict[str, str], room: int
-) -> list[tuple[str, str]]:
-    """The leading pairs whose merges cannot change each other's place in the order.
+def replay_round(
+    chains: Iterable[tuple[str, int]],
+    bound: tuple[int, str] | None,
+    shown: dict[str, str],
+    known: dict[str, str],
+    settings: Settings,
+) -> list[Merge]:
+    """The next merges, one at a time, as far as the chains of the leading pairs tell them.
 
-    Merging (a, b) lowers only pairs that end in a or begin with b, and any pair it creates
-    comes after one of those in the order: it is no more frequent and has the larger id. So
-    pairs before the first such one keep their counts and places. A pair of equal symbols,
-    or one that spells a known token, ends the round.
+    `bound` is the first pair that was not looked at, as (-count, pair). Each place where two
+    symbols meet is one where two symbols of the round's start met; new symbols have larger
+    ids, so a pair is never before the pair it comes from. So pairs that also stand outside of
+    chains are not before the bound, and those before it have all their places in chains. A
+    merge that spells a known token breaks that order, and is the last of its round.
     """
-    accepted: list[tuple[str, str]] = []
-    lefts: set[str] = set()
-    rights: set[str] = set()
-    for pair, _ in pairs:
-        left, right = pair
-        if room <= 0 or left in rights or right in lefts:
+    texts, weights = (list(x) for x in zip(*chains, strict=True))
+    counts: Counter[str] = Counter()
+    places: defaultdict[str, set[int]] = defaultdict(set)
+    for k, (text, n) in enumerate(zip(texts, weights, strict=True)):
+        for at in range(len(text) - 1):
+            counts[text[at : at + 2]] += n
+            places[text[at : at + 2]].add(k)
+    heap = [(-n, pair) for pair, n in counts.items()]
+    heapify(heap)
+    accepted: list[Merge] = []
+    while heap and len(shown) < settings.vocab_size:
+        entry = heappop(heap)
+        pair = entry[1]
+        if -entry[0] != counts[pair]:
+            continue
+        if -entry[0] < settings.min_frequency or (bound is not None and entry >= bound):
             break
-        spelled = shown[left] + shown[right]
+        spelled = shown[pair[0]] + shown[pair[1]]
         if spelled in known:
-            return accepted or [(pair, known[spelled])]
+            accepted.append((pair, known[spelled]))
+            break
         merged = symbol(len(shown))
         shown[merged], known[spelled] = spelled, merged
         accepted.append((pair, merged))
-        lefts.add(left)
-        rights.add(right)
-        room -= 1
-        if left == right:
-            break
+        changed = set()
+        for k in places.pop(pair):
+            old, n = texts[k], weights[k]
+            new = texts[k] = old.replace(pair, merged)
+            if new == old:
+                continue
+            for at in range(len(old) - 1):
+                counts[old[at : at + 2]] -= n
+                changed.add(old[at : at + 2])
+            for at in range(len(new) - 1):
+                counts[new[at : at + 2]] += n
+                places[new[at : at + 2]].add(k)
+                changed.add(new[at : at + 2])
+        for other in changed:
+            if counts[other] > 0:
+                heappush(heap, (-counts[other], other))
     return accepted
 
 
-def _leading_pairs(counts: DataFrame, settings: Settings) -> list[tuple[str, int]]:
+def _leading_pairs(counts: DataFrame, settings: Settings, at_most: int) -> list[tuple[str, int]]:
     """The most frequent pairs, ties by their ids."""
     rows = (
         counts.filter(F.col("n") >= settings.min_frequency)
         .orderBy(F.desc("n"), "pair")
-        .limit(_ROUND_PAIRS)
+        .limit(at_most)
         .collect()
     )
     return [(row["pair"], row["n"]) for row in rows]
@@ -78,20 +126,25 @@ def _pairs_of(words: DataFrame, symbols: Column, n: Column, settings: Settings)
 class _Training:
     """Words and pair counts between two rounds, each in alternating scratch tables.
 
-    Words keep the symbols of the last writing; merges learned since are replayed on reading.
+    `before` holds a word's symbols of the last round where that round changed them.
     """
 
     def __init__(self, words: DataFrame, settings: Settings) -> None:
         self.spark, self.settings = words.sparkSession, settings
         self.base = scratch_path(self.spark, "bpe")
-        self.slots = {"words": 0, "pairs": 0}
-        self.pending: list[tuple[str, str]] = []
+        self.slots = {"words": 0, "pairs": 0, "chains": 0}
+        self.n_pairs = _ROUND_PAIRS
         # Rounds are bound by computing, not by size: use every core, however small the table.
         width = max(
             self.spark.sparkContext.defaultParallelism,
             int(self.spark.conf.get("spark.sql.shuffle.partitions")),
         )
-        lettered = words.select("word", "n", byte_symbols(F.col("word")).alias("symbols"))
+        lettered = words.select(
+            "word",
+            F.col("n").cast("long").alias("n"),
+            byte_symbols(F.col("word")).alias("symbols"),
+            F.lit(None).cast("string").alias("before"),
+        )
         self.words = self._write("words", lettered.repartition(width, "symbols"))
         first = _pairs_of(self.words, F.col("symbols"), F.col("n"), settings)
         self.counts = self._write("pairs", first.groupBy("pair").agg(F.sum("n").alias("n")))
@@ -100,30 +153,83 @@ class _Training:
         self.slots[kind] += 1
         path = f"{self.base}/{kind}/{self.slots[kind] % 2}"
         table.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(table.schema).parquet(path)
 
-    def current(self) -> DataFrame:
-        """All words with their symbols of now."""
-        return self.words.withColumn("symbols", apply_merges(F.col("symbols"), self.pending))
+    def _chains(self, pairs: list[str]) -> DataFrame:
+        """The distinct chains of these pairs over all words, with their counts."""
+        wanted = frozenset(pairs)
 
-    def merge(self, accepted: list[tuple[tuple[str, str], str]]) -> None:
-        """Apply the round's merges: only words that hold an accepted pair are counted anew.
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: Counter[str] = Counter()
+
+            def out() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())],
+                    ["chain", "n"],
+                )
+
+            for batch in batches:
+                for symbols, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    for chain in chains_of(symbols, wanted):
+                        held[chain] += n
+                if len(held) >= _TASK_CHAINS:
+                    yield out()
+                    held.clear()
+            yield out()
+
+        found = self.words.select("symbols", "n").mapInArrow(cut, "chain string, n long")
+        summed = found.groupBy("chain").agg(F.sum("n").alias("n"))
+        return self._write("chains", summed)
+
+    def next_merges(self, shown: dict[str, str], known: dict[str, str]) -> list[Merge]:
+        """The merges of a round; fewer pairs are looked at where the driver would hold too much."""
+        leading = _leading_pairs(self.counts, self.settings, self.n_pairs + 1)
+        while leading:
+            pairs, rest = leading[: self.n_pairs], leading[self.n_pairs :]
+            bound = (-rest[0][1], rest[0][0]) if rest else None
+            if self.n_pairs == 1:
+                # The first pair needs no chains: it is the next merge.
+                self.n_pairs = 2
+                return replay_round(pairs, bound, shown, known, self.settings)
+            chains = self._chains([pair for pair, _ in pairs])
+            held = chains.agg(F.sum(F.length("chain"))).first()[0]
+            if held <= _CHAIN_SYMBOLS:
+                if held <= _CHAIN_SYMBOLS // 4:
+                    self.n_pairs = min(_MOST_PAIRS, 2 * self.n_pairs)
+                columns = chains.toArrow().to_pydict()
+                rows = zip(columns["chain"], columns["n"], strict=True)
+                return replay_round(rows, bound, shown, known, self.settings)
+            self.n_pairs //= 2
+        return []
+
+    def merge(self, accepted: list[Merge]) -> None:
+        """Apply the round's merges: only words that they change are counted anew.
 
         Their old pairs are taken off the counts and their new ones added; what every task
         changes is summed before the shuffle.
         """
-        holds = "|".join(f"\\Q{pair}\\E" for pair, _ in accepted)
-        met = self.current().filter(F.col("symbols").rlike(holds))
-        merged = apply_merges(F.col("symbols"), accepted)
-        before = _pairs_of(met, F.col("symbols"), -F.col("n"), self.settings)
-        after = _pairs_of(met, merged, F.col("n"), self.settings)
+        # The last merge may make a symbol that stood before: it is applied after the others.
+        table = {pair: (rank, merged) for rank, (pair, merged) in enumerate(accepted[:-1])}
+        last = accepted[-1]
+
+        def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                old = batch.column(2).to_pylist()
+                new = [replay_merges(x, table).replace(*last) for x in old]
+                before = [x if x != y else None for x, y in zip(old, new, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(new, pa.string()), pa.array(before, pa.string())],
+                    ["word", "n", "symbols", "before"],
+                )
+
+        merged = self.words.select("word", "n", "symbols").mapInArrow(apply, self.words.schema)
+        self.words = self._write("words", merged)
+        met = self.words.filter(F.col("before").isNotNull())
+        before = _pairs_of(met, F.col("before"), -F.col("n"), self.settings)
+        after = _pairs_of(met, F.col("symbols"), F.col("n"), self.settings)
         changed = self.counts.unionByName(before).unionByName(after)
         summed = changed.groupBy("pair").agg(F.sum("n").alias("n")).filter(F.col("n") > 0)
         self.counts = self._write("pairs", summed)
-        self.pending += accepted
-        if len(self.pending) >= _PENDING_MERGES:
-            self.words = self._write("words", self.current())
-            self.pending = []
 
 
 def _learn(
@@ -137,13 +243,12 @@ def _learn(
     state = _Training(words, settings)
     merges: list[tuple[str, str, str]] = []
     while len(shown) < settings.vocab_size:
-        pairs = _leading_pairs(state.counts, settings)
-        if not pairs:
+        accepted = state.next_merges(shown, known)
+        if not accepted:
             break
-        accepted = _independent_prefix(pairs, shown, known, settings.vocab_size - len(shown))
         merges += [(shown[p[0]], shown[p[1]], shown[m]) for p, m in accepted]
         state.merge(accepted)
-    return merges, state.current()
+    return merges, state.words
 
 
 def _merge_rows(spark: SparkSession, merges: list[tuple[str, str, str]]) -> DataFrame:
@@ -156,8 +261,8 @@ def learn_merges(words: DataFrame, settings: Settings = Settings()) -> DataFrame
     """Merges by rank, as one merge at a time would give them.
 
     words(word, n) are distinct. The most frequent pair comes first, ties by the smaller left
-    id, then right id. The driver sees only the leading pairs of a round and the merges,
-    bounded by vocab_size.
+    id, then right id. The driver sees only the leading pairs of a round, a bounded number of
+    distinct chains of them, and the merges.
     """
     return _merge_rows(words.sparkSession, _learn(words, settings)[0])
 

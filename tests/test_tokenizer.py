@@ -1,5 +1,6 @@
 """Tokenizer training and encoding against brute force and a public tokenizer library."""
 
+import json
 import random
 import time
 from collections import Counter
@@ -7,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from corpusloom.config import Settings, SpecialTokens
 from corpusloom.functions import symbols
 from corpusloom.operators import bpe, encoding, vocabulary
@@ -71,6 +73,47 @@ def test_merge_of_a_known_token_keeps_its_id(spark):
     assert got == brute_force_merges(words, 261 + 40)
 
 
+@pytest.mark.parametrize("held", [8, 60, 1 << 20])
+@pytest.mark.parametrize("seed", range(2))
+def test_merges_do_not_depend_on_the_rounds(spark, monkeypatch, seed, held):
+    """Rounds of few pairs, and chains beyond what the driver holds, give the same merges."""
+    monkeypatch.setattr(bpe, "_ROUND_PAIRS", 4)
+    monkeypatch.setattr(bpe, "_CHAIN_SYMBOLS", held)
+    monkeypatch.setattr(bpe, "_TASK_CHAINS", 3)
+    rng = random.Random(seed)
+    words = {"".join(rng.choices("abcd", k=rng.randint(1, 9))): rng.randint(1, 9) for _ in range(60)}
+    words |= {"a" * 37: 3, "abc": 10, "bc": 20, "ab": 25}
+    got = learned(spark, list(words.items()), 261 + 25)
+    assert got == brute_force_merges(list(words.items()), 261 + 25)
+
+
+def test_registered_query_learns_every_merge_of_the_library(spark, data):
+    """The query as registered, over a vocabulary of several thousand merges."""
+    tokenizers = pytest.importorskip("tokenizers")
+    _, raw = texts(spark, data)
+    peer = tokenizers.ByteLevelBPETokenizer()
+    peer.train_from_iterator(
+        raw,
+        vocab_size=Settings().vocab_size,
+        min_frequency=2,
+        special_tokens=list(TOKENS.trained),
+        show_progress=False,
+    )
+    rows = queries()["bpe_train"](spark, data).orderBy("rank").collect()
+    wanted = json.loads(peer._tokenizer.to_str())["model"]["merges"]
+    assert len(rows) > 5_000
+    assert [[r["left"], r["right"]] for r in rows] == [list(pair) for pair in wanted]
+    model = peer._tokenizer.model
+    encoded = {r["word"]: r["ids"] for r in queries()["word_tokens"](spark, data).collect()}
+    for word in random.Random(2).sample(sorted(encoded), 2_000):
+        assert encoded[word] == " ".join(str(t.id) for t in model.tokenize(as_shown(word)))
+
+
+def as_shown(word):
+    visible = symbols.byte_characters()
+    return "".join(visible[b] for b in word.encode())
+
+
 def test_training_stops_without_frequent_pairs(spark):
     assert learned(spark, [("ab", 1), ("cd", 1)], 400) == []
 
