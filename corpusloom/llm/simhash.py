@@ -261,9 +261,12 @@ def _classes(docs: DataFrame, group_rows: int) -> tuple[DataFrame, DataFrame]:
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     named = rooted.groupBy("root").agg(
-        F.min("first").alias("component_id"), F.min("fp").alias("lowest")
+        F.min(F.when(F.col("first").isNotNull(), F.struct("first", "fp"))).alias("kept"),
+        F.min("fp").alias("lowest"),
+    )
+    return prints, rooted.join(named, "root").select(
+        "fp", F.col("kept.first").alias("component_id"), F.col("kept.fp").alias("kept_fp"), "lowest"
     )
-    return prints, rooted.join(named, "root").select("fp", "component_id", "lowest")
 
 
 def near_duplicates(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -279,17 +282,32 @@ def fingerprint_hex(fp: Column) -> Column:
 def near_dedup(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """One row of every component, the one with the smallest doc_id, with all its columns.
 
-    Of several rows with that id one stays. A component without any doc_id keeps one row, of
-    those with its lowest fingerprint.
+    Of several rows with that id the one with the smallest fingerprint stays; rows of other
+    components that share the id stay for their own. A component without any doc_id keeps one
+    row, of those with its lowest fingerprint.
     """
-    _, classes = _classes(docs, group_rows)
-    named = classes.filter(F.col("component_id").isNotNull())
-    keep = named.select(F.col("component_id").alias("__keep")).distinct()
-    kept = docs.join(keep, docs["doc_id"] == keep["__keep"], "left_semi").dropDuplicates(["doc_id"])
+    prints, classes = _classes(docs, group_rows)
+    named = classes.filter("component_id IS NOT NULL AND fp = kept_fp").select(
+        F.col("component_id").alias("__keep"), F.col("fp").alias("__print")
+    )
+    # Only rows that share their id, mostly none, need their fingerprint to be told apart.
+    shared = (
+        prints.filter(F.col("doc_id").isNotNull())
+        .groupBy(F.col("doc_id").alias("__shared"))
+        .agg(F.count("*").alias("__n"))
+        .filter("__n > 1")
+    )
+    alone = named.join(shared, F.col("__keep") == F.col("__shared"), "left_anti")
+    kept = docs.join(alone, docs["doc_id"] == alone["__keep"], "left_semi")
+    several = docs.join(shared, docs["doc_id"] == shared["__shared"], "left_semi").withColumn(
+        "__fp", fingerprints(F.col("text"))
+    )
+    own = (several["doc_id"] == named["__keep"]) & (several["__fp"] == named["__print"])
+    told = several.join(named, own, "left_semi").dropDuplicates(["doc_id", "__fp"]).drop("__fp")
     nameless = classes.filter("component_id IS NULL AND fp = lowest").select(
         F.col("fp").alias("__keep")
     )
     # Rows without an id are found by the statistics of the column, mostly none.
     without = docs.filter(F.col("doc_id").isNull()).withColumn("__fp", fingerprints(F.col("text")))
     found = without.join(nameless, without["__fp"] == nameless["__keep"], "left_semi")
-    return kept.unionByName(found.dropDuplicates(["__fp"]).drop("__fp"))
+    return kept.unionByName(told).unionByName(found.dropDuplicates(["__fp"]).drop("__fp"))

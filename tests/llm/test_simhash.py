@@ -118,6 +118,13 @@ def test_rows_without_any_id(make_docs):
     assert simhash.near_dedup(docs).count() == 2
 
 
+def test_rows_that_share_an_id_stay_for_their_components(make_docs):
+    one, two, far = ("first text about rivers and hills", "other words on machines and steel", "a third one of ships")
+    docs = make_docs([(7, one), (7, two), (7, two), (8, one), (9, far), (6, far)])
+    kept = [(r["doc_id"], r["text"]) for r in simhash.near_dedup(docs).collect()]
+    assert sorted(kept) == sorted([(7, one), (7, two), (6, far)])
+
+
 def test_whole_table(spark, small):
     docs = [(r[0], slow_fingerprint(r[1])) for r in table(spark, small, "documents").select("doc_id", "text").collect()]
     first = slow_components(docs)
