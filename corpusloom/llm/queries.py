@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from corpusloom.llm import (
     bpe_columns,
     chat_examples,
+    embedding_dedup,
+    filter_audit,
     gam,
+    merkle,
     packing,
     permutation_index,
     quality_rules,
@@ -117,8 +120,44 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@_query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.merkle_manifest(table(spark, folder, "documents"))
+
+
+@_query
+def op13_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_embeddings(table(spark, folder, "embeddings"))
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
+
+def _sql_field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}) || ':' || {value} END"
+
+
+_LEAF = "sha256({})".format(
+    " || ".join(
+        _sql_field(value)
+        for value in ("doc_id::VARCHAR", "source", "lang", "(n_chars::HUGEINT{more})::VARCHAR", "text")
+    )
+)
+_PARENTS = (
+    "list_transform(range((len(nodes) + 1) // 2),"
+    " lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))"
+)
+_SIBLING = "coalesce(nodes[xor(place, 1) + 1], '')"
+_FOLDED = (
+    f"proof || {_SIBLING},"
+    f" sha256(CASE WHEN place % 2 = 0 THEN folded || {_SIBLING} ELSE {_SIBLING} || folded END)"
+)
+
 _SQL = {
     "op1_quality_rules": f"""
         WITH docs AS (
@@ -199,6 +238,106 @@ _SQL = {
                 AS loss_sha256,
             sum(so_far) FILTER (role = 'assistant' OR place = n)::BIGINT AS formatted_chars
         FROM numbered GROUP BY conv_id""",
+    "op11_filter_audit": f"""
+        WITH docs AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents
+        ), measured AS (
+            SELECT *, regexp_extract_all(t, '{_WORD}') AS w, min(doc_id) OVER (PARTITION BY t) AS low
+            FROM docs
+        ), failed AS (
+            SELECT part, coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS good,
+                coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS toxic,
+                [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+                    100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t),
+                    regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > low, false)] AS fails
+            FROM measured
+        ), kinds AS (
+            SELECT part, good, toxic, fails, len(list_filter(fails, lambda x: x)) AS n_fails,
+                count(*) AS n
+            FROM failed GROUP BY ALL
+        ), orders AS (
+            SELECT [a.i, b.i, c.i, d.i, e.i] AS o
+            FROM range(1, 6) a(i), range(1, 6) b(i), range(1, 6) c(i), range(1, 6) d(i), range(1, 6) e(i)
+            WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+        ), ranked AS (
+            SELECT *, coalesce(nullif(list_position(list_transform(o, lambda f: fails[f]), true), 0), 9)
+                AS gone
+            FROM kinds, orders
+        ), stepped AS (
+            SELECT *, o[step] AS f FROM ranked, range(1, 6) s(step)
+        ), summed AS (
+            SELECT part, o, step::INT AS step, f,
+                sum(CASE WHEN gone > step THEN n ELSE 0 END)::BIGINT AS kept,
+                sum(CASE WHEN gone = step THEN n ELSE 0 END)::BIGINT AS removed,
+                sum(CASE WHEN gone < step AND fails[f] THEN n ELSE 0 END)::BIGINT AS redundant,
+                sum(CASE WHEN n_fails = 1 AND fails[f] THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                sum(CASE WHEN gone = step AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+                sum(CASE WHEN gone = step AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+            FROM stepped GROUP BY part, o, step, f
+        )
+        SELECT part, array_to_string(list_transform(o, lambda x: substr('ABCDE', x::INT, 1)), '')
+                AS filter_order,
+            step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley
+        FROM summed""",
+    "op12_merkle_manifest": f"""
+        WITH RECURSIVE sums AS (
+            SELECT *, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT,
+                    list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                lambda held, byte: list_reduce([xor(held, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                    lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END))) AS crc
+            FROM documents
+        ), hashed AS (
+            SELECT doc_id, coalesce('=' || lang, '') AS part, {_LEAF.format(more="")} AS leaf,
+                CASE WHEN crc % 7 = 0 THEN {_LEAF.format(more=" + 1")} END AS altered
+            FROM sums
+        ), leaves AS (
+            SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+            FROM hashed
+        ), tree(part, level, nodes) AS (
+            SELECT part, 0, list(leaf ORDER BY place) FROM leaves GROUP BY part
+            UNION ALL SELECT part, level + 1, {_PARENTS} FROM tree WHERE len(nodes) > 1
+        ), subroots AS (
+            SELECT part, nodes[1] AS subroot, level AS height, row_number() OVER (ORDER BY part) - 1 AS place
+            FROM tree WHERE len(nodes) = 1
+        ), top(level, nodes) AS (
+            SELECT 0, list(subroot ORDER BY place) FROM subroots
+            UNION ALL SELECT level + 1, {_PARENTS} FROM top WHERE len(nodes) > 1
+        ), climb(doc_id, part, leaf, level, place, proof, folded) AS (
+            SELECT doc_id, part, leaf, 0, place, '', coalesce(altered, leaf) FROM leaves
+            UNION ALL SELECT doc_id, part, leaf, level + 1, place // 2, {_FOLDED}
+            FROM climb JOIN tree USING (part, level) WHERE len(nodes) > 1
+        ), finish(doc_id, leaf, subroot, level, place, proof, folded) AS (
+            SELECT doc_id, leaf, subroot, 0, s.place, proof, folded
+            FROM climb c JOIN subroots s ON c.part = s.part AND c.level = s.height
+            UNION ALL SELECT doc_id, leaf, subroot, level + 1, place // 2, {_FOLDED}
+            FROM finish JOIN top USING (level) WHERE len(nodes) > 1
+        )
+        SELECT doc_id, leaf, subroot, nodes[1] AS root, sha256(proof) AS proof_sha256,
+            folded AS folded_root, folded = nodes[1] AS verified
+        FROM finish JOIN top USING (level) WHERE len(nodes) = 1""",
+    "op13_embedding_dedup": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+        ), usable AS (
+            SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM vectors
+            WHERE len(list_filter(v, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+                AND len(list_filter(v, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+                ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+                AND list_dot_product(a.v, b.v) >= 0.95 * a.norm * b.norm
+        ), reach(a, b) AS (
+            SELECT vec_id, vec_id FROM embeddings
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        ), named AS (
+            SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+        ), counted AS (
+            SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+        )
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM named LEFT JOIN counted USING (vec_id)""",
 }
 
 
