@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,11 +14,12 @@ from corpusloom.config import SpecialTokens
 from corpusloom.functions import formats
 from corpusloom.functions.text import not_blank
 from corpusloom.operators.positions import batch_numbers
+from corpusloom.operators.safe_sql import calls, safe_result
 
 Processor = Callable[[DataFrame, Column, SpecialTokens], DataFrame]
 
 # SQL functions whose purpose is to raise.
-_RAISING = re.compile(r"\b(raise_error|assert_true)\s*\(", re.IGNORECASE)
+_RAISING = frozenset({"raise_error", "assert_true"})
 
 _PYTHON_RESULT = T.StructType(
     [T.StructField("result", T.StringType()), T.StructField("error", T.StringType())]
@@ -93,27 +93,18 @@ BUILT_IN: dict[str, Processor] = {
 def sql_processor(expression: str) -> Processor:
     """A SQL expression over text, bos, eos and isinst; it runs in generated code.
 
-    It is analysed without ANSI mode, so that a failing cast or division gives null for its
-    row; a result is taken as a string. Functions that raise by themselves are refused.
+    No input can make it fail the job: a failing cast, division or reader gives null for its row,
+    and an expression that could raise is refused when the plan is made. A result is taken as a
+    string.
     """
-    raising = _RAISING.search(expression)
+    raising = calls(expression) & _RAISING
     if raising:
-        raise ValueError(f"{raising.group(1)} would fail the job, not the row")
+        raise ValueError(f"{', '.join(sorted(raising))} would fail the job, not the row")
 
     def run(df: DataFrame, instruct: Column, tokens: SpecialTokens) -> DataFrame:
-        names = {"bos": F.lit(tokens.bos), "eos": F.lit(tokens.eos), "isinst": instruct}
-        conf, ansi = df.sparkSession.conf, "spark.sql.ansi.enabled"
-        before = conf.get(ansi)
-        conf.set(ansi, "false")
-        try:
-            result = F.expr(expression).cast("string")
-            return (
-                df.withColumns(names)
-                .withColumns({"result": result, "error": F.lit(None).cast("string")})
-                .drop(*names)
-            )
-        finally:
-            conf.set(ansi, before)
+        constants = {"bos": F.lit(tokens.bos), "eos": F.lit(tokens.eos)}
+        result = safe_result(df, expression, constants, {"isinst": instruct})
+        return result.withColumn("error", F.lit(None).cast("string"))
 
     return run
 
@@ -204,6 +195,30 @@ def quarantine(
     )
 
 
+KEPT, REJECTED = "kept", "rejected"
+REJECT_REASONS = ("blank", "error", "null_result")
+
+
+def split_rows(
+    df: DataFrame,
+    processor: str | Processor,
+    instruct: bool | Column,
+    tokens: SpecialTokens = SpecialTokens(),
+) -> DataFrame:
+    """Every row once, with its status: prepared text of kept rows, raw text of rejected ones.
+
+    One pass: the processor runs once for a row, whichever way it goes. Rejected rows carry
+    reject_reason and, where there is one, the error.
+    """
+    judged = quarantine(df, processor, instruct, tokens)
+    kept = F.col("reject_reason").isNull()
+    return (
+        judged.withColumn("text", F.when(kept, F.col("result")).otherwise(F.col("text")))
+        .withColumn("status", F.when(kept, KEPT).otherwise(REJECTED))
+        .drop("result")
+    )
+
+
 def empty_batches(
     df: DataFrame, order: list[str], size: int, survived: Column, strict: bool = False
 ) -> DataFrame:

@@ -185,6 +185,82 @@ def test_a_failing_sql_expression_rejects_the_row(spark):
         prepare.sql_processor("raise_error(text)")
 
 
+def outcome(spark, values, expression):
+    """Reject reasons, or the names that the expression is refused for."""
+    try:
+        return reasons(spark, values, expression)
+    except ValueError as refused:
+        return str(refused)
+
+
+@pytest.mark.parametrize(
+    ("expression", "good", "bad", "result"),
+    [
+        ("cast(parse_json(text) AS STRING)", "[1, 2]", "[1,", "[1,2]"),
+        ("element_at(split(text, ' '), 2)", "a b", "a", "b"),
+        ("cast(to_number(text, '999') AS STRING)", "12", "x", "12"),
+        ("split_part(text, ' ', 1)", "a b", " ", "a"),
+        ("split(text, ' ')[1]", "a b", "a", "b"),
+        ("cast(variant_get(parse_json(text), '$.n', 'int') AS STRING)", '{"n": 4}', '{"n": "x"}', "4"),
+        ("cast(to_timestamp(text) AS STRING)", "2020-01-02 03:04:05", "soon", "2020-01-02 03:04:05"),
+        ("decode(1, 1, text)", "a", "", "a"),
+    ],
+)
+def test_sql_functions_that_raise_reject_the_row(spark, expression, good, bad, result):
+    got = outcome(spark, [good, bad], expression)
+    if isinstance(got, str):
+        assert "decode" in got
+    else:
+        assert got[0] == (result, None) and got[1][0] is None and got[1][1] is not None
+
+
+@pytest.mark.parametrize(
+    ("expression", "named"),
+    [
+        ("element_at(split(text, ' '), 0)", "element_at"),
+        ("element_at(split(text, ' '), length(text))", "element_at"),
+        ("split_part(text, ' ', 0)", "split_part"),
+        ("concat(text, RAISE_ERROR (text))", "raise_error"),
+        ("if(assert_true(length(text) > 3) is null, text, '')", "assert_true"),
+        ("from_json(text, 'a INT', map('mode', 'FAILFAST')).a", "from_json"),
+        ("regexp_extract(text, '(a', 1)", "regexp_extract"),
+        ("regexp_extract(text, '(a)(b)', 3)", "regexp_extract"),
+        ("regexp_replace(text, '(a)', '$2')", "regexp_replace"),
+        ("regexp_replace(text, text, 'x')", "regexp_replace"),
+        ("array_join(transform(split(text, ' '), x -> unbase64(x)), '')", "unbase64"),
+        ("array_join(slice(split(text, ' '), length(text), 2), '')", "slice"),
+        ("text LIKE text", "like"),
+        ("java_method('java.lang.System', 'exit', 1)", "java_method"),
+        ("cast(sequence(1, length(text), 0) AS STRING)", "sequence"),
+    ],
+)
+def test_expressions_that_could_fail_the_job_are_refused_by_name(spark, expression, named):
+    got = outcome(spark, ["a"], expression)
+    assert isinstance(got, str) and named in got
+
+
+@pytest.mark.parametrize(
+    ("expression", "wanted"),
+    [
+        ("' raise_error('", " raise_error("),
+        ("concat(text, ' parse_json(', \"element_at(\", '\\' assert_true(')", "a parse_json(element_at(' assert_true("),
+        ("text /* raise_error(text) */", "a"),
+        ("regexp_replace(text, '(a)', '<$1>')", "<a>"),
+        ("CASE WHEN isinst AND text LIKE 'a%' THEN upper(text) END", "A"),
+        ("array_join(transform(split(text, ''), x -> concat(x, '.')), '')", "a."),
+    ],
+)
+def test_harmless_expressions_are_taken(spark, expression, wanted):
+    assert reasons(spark, ["a"], expression) == [(wanted, None)]
+
+
+def test_sql_processors_leave_the_session_as_it_was(spark):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    frame = spark.createDataFrame([("a", True)], "text STRING, told BOOLEAN")
+    out = prepare.prepare(frame, "if(isinst, text, cast(told AS STRING))", F.col("told"))
+    assert out.first()["text"] == "a" and spark.conf.get("spark.sql.ansi.enabled") == before
+
+
 def test_a_python_result_that_is_no_text_rejects_the_row(spark):
     processor = prepare.python_processor(lambda value, tokens, instruct: 5 if value == "x" else value)
     assert reasons(spark, ["x", "y"], processor) == [(None, "error"), ("y", None)]
