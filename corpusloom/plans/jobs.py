@@ -1,32 +1,40 @@
 """The three jobs of a run, linked by tables: tokenizer, preparation, batches.
 
-Each job only reads tables and overwrites its own output, so it can be run again.
+Each job only reads tables and publishes its own output as a whole, so it can be run again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.config import Settings
 from corpusloom.operators.bpe import train_bpe
 from corpusloom.operators.encoding import CollateIds, collate, encode
 from corpusloom.operators.layout import training_layout
-from corpusloom.operators.prepare import Processor, empty_batches, prepare, quarantine
+from corpusloom.operators.prepare import (
+    KEPT,
+    REJECT_REASONS,
+    Processor,
+    empty_batches,
+    split_rows,
+)
 from corpusloom.operators.vocabulary import configure_vocab, instruct_audit, word_counts
-from corpusloom.plans.steps import plan_summary, require_steps
+from corpusloom.plans.steps import plan_of_counts, plan_summary, require_steps
 from corpusloom.session import scratch_path
 from corpusloom.sources.tables import (
     INSTRUCT,
     PRETRAIN,
     DatasetPaths,
     needs_training,
+    publish_prepared,
     read_prepared,
     scan,
     scan_corpus,
-    write_prepared,
+    stage_prepared,
 )
 from corpusloom.sources.tokenizer_store import (
     Tokenizer,
@@ -74,6 +82,16 @@ def tokenizer_job(
     save_tokenizer(Tokenizer(vocab, tokenizer.merges, tokenizer.word_tokens), target)
 
 
+@dataclass(frozen=True)
+class Preparation:
+    """What a preparation wrote, and whether its plan has update steps."""
+
+    n_examples: int
+    n_chars: int
+    rejected: dict[str, int]
+    plan_status: str
+
+
 def prepare_job(
     spark: SparkSession,
     paths: DatasetPaths,
@@ -83,20 +101,35 @@ def prepare_job(
     processor: str | Processor = "default",
     guard_batches: bool = False,
     settings: Settings = Settings(),
-) -> None:
-    """Format the phase's dataset and write it: one stage from scan to write.
+) -> Preparation:
+    """Format the phase's dataset and write kept and rejected rows: one stage, one pass.
 
-    With guard_batches the job fails first where a formatting batch, in key order, has no
-    row that survives. That is a second pass over the texts.
+    Counts are taken while the rows are written. With guard_batches the job fails, and leaves
+    the last version of the phase, where a formatting batch, in key order, has no row that
+    survives; that reads the keys of the rows just written, not the texts.
     """
     phase = INSTRUCT if instruct else PRETRAIN
-    texts = scan(spark, paths, instruct, *keys)
-    if guard_batches:
-        checked = quarantine(texts, processor, instruct, settings.tokens)
-        survived = F.col("reject_reason").isNull()
-        empty_batches(checked, list(keys), settings.format_batch, survived, strict=True)
-    prepared = prepare(texts, processor, instruct, settings.tokens)
-    write_prepared(prepared.withColumn("phase", F.lit(phase)), target)
+    rows = split_rows(scan(spark, paths, instruct, *keys), processor, instruct, settings.tokens)
+    kept, seen = F.col("status") == KEPT, Observation()
+    counted = rows.withColumn("phase", F.lit(phase)).observe(
+        seen,
+        F.count_if(kept).alias("n_examples"),
+        F.coalesce(F.sum(F.when(kept, F.length("text")).cast("bigint")), F.lit(0)).alias("n_chars"),
+        *[F.count_if(F.col("reject_reason") == reason).alias(reason) for reason in REJECT_REASONS],
+    )
+    staged = stage_prepared(counted, target)
+    found = dict(seen.get)
+    if guard_batches and found["n_examples"] + sum(found[r] for r in REJECT_REASONS):
+        written = spark.read.parquet(staged).select(*keys, "status")
+        empty_batches(written, list(keys), settings.format_batch, kept, strict=True)
+    publish_prepared(spark, staged, target)
+    counts = spark.createDataFrame([(phase, found["n_examples"])], "phase STRING, n_examples BIGINT")
+    return Preparation(
+        found["n_examples"],
+        found["n_chars"],
+        {reason: found[reason] for reason in REJECT_REASONS},
+        plan_of_counts(counts, settings).first()["status"],
+    )
 
 
 def batch_job(
@@ -119,7 +152,7 @@ def batch_job(
     phase = INSTRUCT if instruct else PRETRAIN
     prepared = read_prepared(spark, prepared_path, phase)
     require_steps(plan_summary(prepared, settings))
-    tokenizer = load_tokenizer(spark, tokenizer_path, with_words=False)
+    tokenizer = load_tokenizer(spark, tokenizer_path)
     known = {
         row["token"]: row["id"]
         for row in tokenizer.vocab.filter("special").select("token", "id").collect()
@@ -127,9 +160,10 @@ def batch_job(
     tokens = settings.tokens
     ids = CollateIds(known[tokens.pad], known.get(tokens.bot_marker), known.get(tokens.end_marker))
     encoded_path = scratch_path(spark, "encoded")
-    encode(prepared.select(*keys, "text"), tokenizer.vocab, tokenizer.merges).select(*keys, "ids").write.parquet(
-        encoded_path
+    encoded = encode(
+        prepared.select(*keys, "text"), tokenizer.vocab, tokenizer.merges, word_tokens=tokenizer.word_tokens
     )
+    encoded.select(*keys, "ids").write.parquet(encoded_path)
     encoded = spark.read.parquet(encoded_path)
     layout = training_layout(prepared.select(*keys), keys, epochs, settings)
     block = F.expr(f"batch_no div {_FILE_BATCHES}")

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.sources import snapshots
+
 _TABLES = ("vocab", "merges", "word_tokens")
 
 
@@ -23,20 +25,31 @@ class Tokenizer:
 
 
 def save_tokenizer(tokenizer: Tokenizer, path: str) -> None:
-    """Write all tables; without word_tokens an empty one replaces what was there."""
+    """Write all tables as one version; without word_tokens its table is empty.
+
+    A save that dies leaves the tokenizer before it whole.
+    """
     spark = tokenizer.vocab.sparkSession
-    for name in _TABLES:
-        table = getattr(tokenizer, name)
-        if table is None:
-            table = spark.createDataFrame([], "word STRING, n BIGINT, ids ARRAY<INT>")
-        table.write.mode("overwrite").parquet(f"{path}/{name}")
+
+    def write(folder: str) -> None:
+        for name in _TABLES:
+            table = getattr(tokenizer, name)
+            if table is None:
+                table = spark.createDataFrame([], "word STRING, n BIGINT, ids ARRAY<INT>")
+            table.write.parquet(f"{folder}/{name}")
+
+    snapshots.save(spark, path, write)
 
 
 def load_tokenizer(spark: SparkSession, path: str, with_words: bool = True) -> Tokenizer:
+    """The newest tokenizer; all its tables are of one version, also where a new one is saved."""
+    found = snapshots.newest(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"no tokenizer below {path}")
     return Tokenizer(
-        spark.read.parquet(f"{path}/vocab"),
-        spark.read.parquet(f"{path}/merges"),
-        spark.read.parquet(f"{path}/word_tokens") if with_words else None,
+        spark.read.parquet(f"{found}/vocab"),
+        spark.read.parquet(f"{found}/merges"),
+        spark.read.parquet(f"{found}/word_tokens") if with_words else None,
     )
 
 
