@@ -61,15 +61,18 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(text: Column) -> Column:
-    """Fingerprints as signed 64-bit numbers with the same bits."""
+def fingerprints(text: Column, pinned: bool = False) -> Column:
+    """Fingerprints as signed 64-bit numbers with the same bits.
+
+    Pinned ones are computed where they stand in the plan, filters do not pass below them.
+    """
 
     @F.arrow_udf("long")
     def of(texts: pa.Array) -> pa.Array:
         found = np.fromiter(map(fingerprint, texts.to_pylist()), dtype=np.uint64, count=len(texts))
         return pa.array(found.view(np.int64), pa.int64())
 
-    return of(text)
+    return (of.asNondeterministic() if pinned else of)(text)
 
 
 # Of the four halves after the first segment, the two that a key holds.
@@ -279,35 +282,49 @@ def fingerprint_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def _left_out(prints: DataFrame, classes: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Ids whose rows do not stay as they are: duplicates, and ids that several rows share."""
+    gone = (
+        prints.filter(F.col("doc_id").isNotNull())
+        .join(classes, "fp")
+        .filter("doc_id <> component_id")
+        .select(F.col("doc_id").alias("__out"))
+    )
+    return gone.unionByName(repeated.select(F.col("doc_id").alias("__out"))).distinct()
+
+
 def near_dedup(docs: DataFrame, group_rows: int = GROUP_ROWS) -> DataFrame:
     """One row of every component, the one with the smallest doc_id, with all its columns.
 
     Of several rows with that id the one with the smallest fingerprint stays; rows of other
     components that share the id stay for their own. A component without any doc_id keeps one
     row, of those with its lowest fingerprint.
+
+    Texts meet only the ids to leave out, whose size is known when they do, and their
+    fingerprints are not computed again but for rows that share an id or have none.
     """
     prints, classes = _classes(docs, group_rows)
-    named = classes.filter("component_id IS NOT NULL AND fp = kept_fp").select(
-        F.col("component_id").alias("__keep"), F.col("fp").alias("__print")
-    )
-    # Only rows that share their id, mostly none, need their fingerprint to be told apart.
-    shared = (
-        prints.filter(F.col("doc_id").isNotNull())
-        .groupBy(F.col("doc_id").alias("__shared"))
-        .agg(F.count("*").alias("__n"))
-        .filter("__n > 1")
-    )
-    alone = named.join(shared, F.col("__keep") == F.col("__shared"), "left_anti")
-    kept = docs.join(alone, docs["doc_id"] == alone["__keep"], "left_semi")
-    several = docs.join(shared, docs["doc_id"] == shared["__shared"], "left_semi").withColumn(
-        "__fp", fingerprints(F.col("text"))
-    )
-    own = (several["doc_id"] == named["__keep"]) & (several["__fp"] == named["__print"])
-    told = several.join(named, own, "left_semi").dropDuplicates(["doc_id", "__fp"]).drop("__fp")
-    nameless = classes.filter("component_id IS NULL AND fp = lowest").select(
-        F.col("fp").alias("__keep")
-    )
-    # Rows without an id are found by the statistics of the column, mostly none.
-    without = docs.filter(F.col("doc_id").isNull()).withColumn("__fp", fingerprints(F.col("text")))
-    found = without.join(nameless, without["__fp"] == nameless["__keep"], "left_semi")
-    return kept.unionByName(told).unionByName(found.dropDuplicates(["__fp"]).drop("__fp"))
+    classes = stored(classes, "simhash-classes")
+    ids = prints.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n"))
+    repeated = stored(ids.filter("n > 1").select("doc_id"), "simhash-repeated")
+    out = stored(_left_out(prints, classes, repeated), "simhash-left-out")
+    named = docs.filter(F.col("doc_id").isNotNull())
+    kept = named.join(out, named["doc_id"] == out["__out"], "left_anti")
+    # A fingerprint that may differ from call to call is not moved below the join before it.
+    own_print = fingerprints(F.col("text"), pinned=True)
+    if not repeated.isEmpty():
+        several = named.join(
+            repeated.select(F.col("doc_id").alias("__shared")), F.col("doc_id") == F.col("__shared"), "left_semi"
+        ).withColumn("__fp", own_print)
+        keepers = classes.filter("component_id IS NOT NULL AND fp = kept_fp").select(
+            F.col("component_id").alias("__keep"), F.col("fp").alias("__print")
+        )
+        own = (several["doc_id"] == keepers["__keep"]) & (several["__fp"] == keepers["__print"])
+        told = several.join(keepers, own, "left_semi").dropDuplicates(["doc_id", "__fp"])
+        kept = kept.unionByName(told.drop("__fp"))
+    if not prints.filter(F.col("doc_id").isNull()).isEmpty():
+        without = docs.filter(F.col("doc_id").isNull()).withColumn("__fp", own_print)
+        nameless = classes.filter("component_id IS NULL AND fp = lowest").select(F.col("fp").alias("__keep"))
+        found = without.join(nameless, without["__fp"] == nameless["__keep"], "left_semi")
+        kept = kept.unionByName(found.dropDuplicates(["__fp"]).drop("__fp"))
+    return kept

@@ -125,6 +125,22 @@ def test_rows_that_share_an_id_stay_for_their_components(make_docs):
     assert sorted(kept) == sorted([(7, one), (7, two), (6, far)])
 
 
+def test_texts_meet_once_and_are_fingerprinted_once(spark, small):
+    """Unique ids: the plan over texts has no Python, and one exchange of them at most."""
+    docs = table(spark, small, "documents")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold, most in (("10m", 0), ("-1", 1)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            plan = simhash.near_dedup(docs)._jdf.queryExecution().sparkPlan().toString()
+            executed = simhash.near_dedup(docs)._jdf.queryExecution().executedPlan().toString()
+            assert "ArrowEvalPython" not in plan
+            # With the threshold off, both sides of the one join are dealt out by hash.
+            assert executed.count("Exchange hashpartitioning") == 2 * most
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_whole_table(spark, small):
     docs = [(r[0], slow_fingerprint(r[1])) for r in table(spark, small, "documents").select("doc_id", "text").collect()]
     first = slow_components(docs)
