@@ -44,13 +44,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
     The cluster names it in spark.checkpoint.dir. Where that is unset, it is a folder below
-    the warehouse, which driver and executors share as well.
+    the warehouse; on a cluster that has to be a store which driver and executors share, so a
+    folder of the driver's own disk is refused.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         configured = context.getCheckpointDir() or f"{warehouse}/_scratch"
+        local = configured.startswith(("file:", "/"))
+        if local and not str(getattr(context, "master", "local")).startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder; {configured} is the driver's own")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured

@@ -182,6 +182,31 @@ def test_checkpoints_go_below_the_warehouse_unless_named():
     assert made == ["store://warehouse/_scratch", "store://shared"]
 
 
+def test_scratch_on_the_drivers_own_disk_is_refused_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class Conf:
+        known = {"spark.sql.warehouse.dir": "file:/home/somebody/spark-warehouse"}
+
+        @classmethod
+        def get(cls, key, *default):
+            return cls.known.get(key, *default)
+
+    class Session:
+        sparkContext, conf = Context, Conf
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Session)
+    Context.master = "local-cluster[3,2,1024]"
+    Context.setCheckpointDir = staticmethod(lambda path: None)
+    assert session.checkpoint_root(Session).endswith("/_scratch")
+
+
 def test_two_phases_in_one_target(spark, data, tmp_path):
     target = str(tmp_path / "prepared")
     jobs.prepare_job(spark, paths(data), target)
