@@ -1,16 +1,19 @@
 """Token-id shards compressed by Re-Pair grammars.
 
 Documents go into shards in ascending doc_id order. In each shard frequent neighbouring ids are
-replaced by nonterminals, again and again; a round replaces its most frequent pairs together,
-from left to right where they overlap. A shard stores the rules, how many ids each nonterminal
-expands to, and what is left of the sequence. The lengths place every document, so that one is
-decoded by expanding the few symbols that cover it.
+replaced by nonterminals, again and again, until no pair is left that has enough separate places
+for a rule; a round replaces its most frequent pairs together, from left to right where they overlap.
+Of pairs that meet in a slot of the lookup table one waits for the next round. A shard stores the
+rules, how many ids each nonterminal expands to, and what is left of the sequence. The lengths
+place every document, so that one is decoded by expanding the few symbols that cover it.
 
 Shards are rows of Parquet files: part and shard (their order), n_tokens, doc_ids, doc_starts
 (the places of the documents in the shard) and payload, the encoded sequence. The payload is,
 in little-endian unsigned 32-bit numbers: the first nonterminal, the number of rules, the
-number of symbols, two symbols per rule, a length per rule; then the symbols, with 16 bits each
-where all are below 65,536, else with 32.
+number of symbols, two symbols per rule, a length per rule; then the low 16 bits of every symbol,
+and for each higher bit that some symbol has, from bit 16 on, that bit of all symbols, packed.
+
+Special strings of the vocabulary that stand in a text are ordinary text (encode_special_tokens).
 
 Defined results: a null or empty text holds the end id alone; a null doc_id comes first; rows
 with equal doc_id keep one order, that of the files; a long document makes a long shard; an
@@ -34,8 +37,7 @@ from corpusloom.llm.shared import worker_store
 END_ID = 2
 #: A shard is closed once it holds so many ids.
 SHARD_TOKENS = 1 << 20
-ROUNDS = 8
-#: Pairs replaced in one round, and how often a pair must occur for a rule.
+#: Pairs replaced together in one round, and the separate places that a rule needs.
 ROUND_RULES = 2_048
 LEAST_COUNT = 8
 
@@ -44,15 +46,16 @@ _SCHEMA = (
 )
 
 
-def _frequent_pairs(keys: np.ndarray, at_most: int) -> np.ndarray:
-    """The most frequent pair keys, those that occur often enough, sorted by key."""
+def _frequent_pairs(keys: np.ndarray) -> tuple[np.ndarray, bool]:
+    """The most frequent pair keys, those that occur often enough, sorted; and whether more are left."""
     ordered = np.sort(keys)
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     counts = np.diff(np.append(first, len(ordered)))
     often = np.flatnonzero(counts >= LEAST_COUNT)
-    if len(often) > at_most:
-        often = np.sort(often[np.argpartition(-counts[often], at_most)[:at_most]])
-    return ordered[first[often]]
+    more = len(often) > ROUND_RULES
+    if more:
+        often = np.sort(often[np.argpartition(-counts[often], ROUND_RULES)[:ROUND_RULES]])
+    return ordered[first[often]], more
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +63,7 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     kind, width = keys.dtype.type, 8 * keys.dtype.itemsize
     factor, shift = kind(0x9E3779B1 if width == 32 else 0x9E3779B97F4A7C15), kind(width - 16)
     slots = np.full(1 << 16, -1, dtype=np.int16)
-    # Of two pairs on one slot the later one has it; the other can have it in the next round.
+    # Of two pairs on one slot the later one has it; the other has no places in this round.
     slots[(wanted * factor) >> shift] = np.arange(len(wanted), dtype=np.int16)
     index = slots[(keys * factor) >> shift]
     maybe = np.flatnonzero(index >= 0)
@@ -69,51 +72,89 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return maybe[right], index[right]
 
 
-def compress(ids: np.ndarray, rounds: int = ROUNDS) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """The first nonterminal, the rules (pairs of symbols), their lengths, the symbols left."""
+def _apart(wanted: np.ndarray, step: np.uint32 | np.uint64) -> np.ndarray:
+    """Pairs of which no two can overlap, as many as are found by going through the list."""
+    low, kept = wanted.dtype.type((1 << int(step)) - 1), []
+    lefts: set[int] = set()
+    rights: set[int] = set()
+    sides = zip((wanted >> step).tolist(), (wanted & low).tolist(), strict=True)
+    for at, (left, right) in sorted(enumerate(sides), key=lambda entry: entry[1][0] == entry[1][1]):
+        if left not in rights and right not in lefts:
+            lefts.add(left)
+            rights.add(right)
+            kept.append(at)
+    return wanted[np.sort(kept)]
+
+
+def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """The first nonterminal, the rules (pairs of symbols), their lengths, the symbols left.
+
+    A replacement makes new pairs only beside it, and makes no other pair more frequent. So
+    after a round over the whole sequence the next ones look beside what was replaced, until that
+    gives no rule; then the whole is looked at again if a round left some pair out.
+    """
     symbols = ids.astype(np.uint32)  # a copy, changed in place
     first = int(symbols.max()) + 1 if len(symbols) else 1
     rules: list[np.ndarray] = []
     lengths = np.ones(first, dtype=np.int64)
-    for _ in range(rounds):
-        room = min(ROUND_RULES, (1 << 16) - len(lengths) if first < 1 << 16 else ROUND_RULES)
-        if len(symbols) < 2 or room <= 0:
-            break
+    places: np.ndarray | None = None  # where pairs are looked for; None is everywhere
+    owed, alone = True, False
+    while len(symbols) > 1:
+        owed = owed and places is not None
         narrow = len(lengths) <= 1 << 16
-        wide = symbols if narrow else symbols.astype(np.uint64)
         step = np.uint32(16) if narrow else np.uint64(32)
-        keys = (wide[:-1] << step) | wide[1:]
-        wanted = _frequent_pairs(keys, room)
-        if not len(wanted):
-            break
-        at, which = _find(keys, wanted)
+        left, right = (symbols[:-1], symbols[1:]) if places is None else (symbols[places], symbols[places + 1])
+        keys = ((left if narrow else left.astype(np.uint64)) << step) | right
+        wanted, more = _frequent_pairs(keys) if len(keys) else (keys, False)
+        if alone and len(wanted):
+            wanted, more = _apart(wanted, step), True
+        at, which = _find(keys, wanted) if len(wanted) else (np.zeros(0, np.int64),) * 2
+        at = at if places is None else places[at]
         # Of places in a row, every second one from the left can be replaced.
-        begins = np.flatnonzero(np.concatenate([[True], np.diff(at) != 1]))
+        begins = np.flatnonzero(np.concatenate([[True], np.diff(at) != 1])) if len(at) else at
         within = np.arange(len(at)) - np.repeat(begins, np.diff(np.append(begins, len(at))))
-        chosen = within % 2 == 0
-        at, which = at[chosen], which[chosen]
-        met = np.bincount(which, minlength=len(wanted)) > 0
+        at, which = at[within % 2 == 0], which[within % 2 == 0]
+        found = np.bincount(which, minlength=len(wanted))
+        met = found >= LEAST_COUNT
+        owed |= more or not met.all()
+        if not met.any():
+            if alone or not len(wanted) and not owed:
+                break
+            # Pairs that took each other's places are tried again without their rivals.
+            alone, places = places is None, None
+            continue
+        alone = False
+        at, which = at[met[which]], which[met[which]]
         place = (len(lengths) - 1 + np.cumsum(met)).astype(np.uint32)
         used = wanted[met]
         low = wanted.dtype.type((1 << int(step)) - 1)
         fresh = np.stack([used >> step, used & low], axis=1).astype(np.uint32)
         symbols[at] = place[which]
-        left = np.ones(len(symbols), dtype=bool)
-        left[at + 1] = False
-        symbols = symbols[left]
+        stays = np.ones(len(symbols), dtype=bool)
+        stays[at + 1] = False
+        symbols = symbols[stays]
+        now = at - np.arange(len(at))
+        places = np.stack([now - 1, now], axis=1).ravel()
+        new = np.concatenate([[True], places[1:] != places[:-1]])
+        places = places[new & (places >= 0) & (places < len(symbols) - 1)]
         rules.append(fresh)
         lengths = np.concatenate([lengths, lengths[fresh[:, 0]] + lengths[fresh[:, 1]]])
     table = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.uint32)
     return first, table, lengths[first:], symbols
 
 
-def pack_payload(ids: np.ndarray, rounds: int = ROUNDS) -> bytes:
-    first, rules, lengths, symbols = compress(ids, rounds)
+def _planes(symbols: int) -> range:
+    """The bits beyond 16 that numbers below `symbols` have."""
+    return range(16, max(16, (symbols - 1).bit_length()))
+
+
+def pack_payload(ids: np.ndarray) -> bytes:
+    first, rules, lengths, symbols = compress(ids)
     head = np.array([first, len(rules), len(symbols)], dtype="<u4").tobytes()
-    width = "<u2" if first + len(rules) <= 1 << 16 else "<u4"
-    return b"".join(
-        [head, rules.astype("<u4").tobytes(), lengths.astype("<u4").tobytes(), symbols.astype(width).tobytes()]
-    )
+    parts = [head, rules.astype("<u4").tobytes(), lengths.astype("<u4").tobytes()]
+    parts.append((symbols & 0xFFFF).astype("<u2").tobytes())
+    parts += [np.packbits((symbols >> bit) & 1).tobytes() for bit in _planes(first + len(rules))]
+    return b"".join(parts)
 
 
 class Shard:
@@ -124,8 +165,13 @@ class Shard:
         self.first = first
         self.rules = np.frombuffer(payload, "<u4", 2 * n_rules, 12).reshape(n_rules, 2)
         self.lengths = np.frombuffer(payload, "<u4", n_rules, 12 + 8 * n_rules).astype(np.int64)
-        width = "<u2" if first + n_rules <= 1 << 16 else "<u4"
-        self.symbols = np.frombuffer(payload, width, n_symbols, 12 + 12 * n_rules).astype(np.uint32)
+        at = 12 + 12 * n_rules
+        self.symbols = np.frombuffer(payload, "<u2", n_symbols, at).astype(np.uint32)
+        at, size = at + 2 * n_symbols, -(-n_symbols // 8)
+        for bit in _planes(first + n_rules):
+            plane = np.unpackbits(np.frombuffer(payload, np.uint8, size, at), count=n_symbols)
+            self.symbols |= plane.astype(np.uint32) << np.uint32(bit)
+            at += size
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
         """Replace nonterminals by their pairs until only ids are left."""

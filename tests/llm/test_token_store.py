@@ -1,3 +1,4 @@
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
@@ -39,6 +40,37 @@ def test_grammar_compresses_and_handles_large_ids():
     assert (token_store.Shard(payload).all_ids() == ids).all()
 
 
+def slow_expand(symbol, first, rules):
+    return [symbol] if symbol < first else [i for s in rules[symbol - first] for i in slow_expand(s, first, rules)]
+
+
+def test_rules_go_on_until_no_pair_is_frequent():
+    """No cap on rounds, rules or expansion: a passage repeated often becomes a few symbols."""
+    rng = np.random.default_rng(1)
+    ids = np.tile(rng.integers(0, 50_000, 700), 600).astype("<u4")
+    first, rules, lengths, symbols = token_store.compress(ids)
+    assert len(symbols) < 200 and lengths.max() > 10_000
+    expanded = [i for s in symbols.tolist() for i in slow_expand(s, first, rules.tolist())]
+    assert expanded == ids.tolist()
+    for rule, length in zip(rules.tolist(), lengths.tolist(), strict=True):
+        assert length == sum(1 if s < first else int(lengths[s - first]) for s in rule)
+    mixed = rng.zipf(1.3, 60_000).clip(max=9_000).astype("<u4")
+    _, _, _, left = token_store.compress(mixed)
+    pairs, last = Counter(), {}
+    for at, pair in enumerate(zip(left[:-1].tolist(), left[1:].tolist(), strict=True)):
+        if last.get(pair, -2) < at - 1:
+            pairs[pair] += 1
+            last[pair] = at
+    assert max(pairs.values()) < token_store.LEAST_COUNT
+
+
+def test_symbols_beyond_sixteen_bits():
+    rng = np.random.default_rng(2)
+    ids = np.concatenate([np.repeat(rng.integers(0, 70_000, (3_000, 2)), 9, axis=0).ravel(), [65_535, 65_536, 131_071]])
+    shard = token_store.Shard(token_store.pack_payload(ids.astype("<u4")))
+    assert (shard.all_ids() == ids).all() and shard.first > 1 << 16
+
+
 def test_edges(spark, edge_docs, edge_texts):
     encode, path = library(), scratch_path(spark, "test-tokens")
     token_store.write_tokens(edge_docs, path, TOKENIZER, shard_tokens=50)
