@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and returns a frame, which is written and read again as
 the next stage's docs. The first three return the columns of documents; the last returns the
 pieces of every document that is left.
+
+Defined results: a null text counts as the empty text, which the rules reject for its few words;
+texts of any length are judged, compared and packed whole; equal rows and rows that share a
+doc_id are judged one by one, and of near duplicates one row stays, the one with the smallest
+doc_id, a row without doc_id only where no other of its group has one; an empty table gives an
+empty table in every stage; columns beyond those of documents pass through the first three stages
+under their own names, also where those clash with names that the operators use, and are not in
+the result of the last.
 """
 
 from __future__ import annotations
