@@ -5,9 +5,11 @@ over that feature's bins and adds it to the feature's lookup table. Pairs follow
 way over a coarse grid. A score is then a sum of table entries, looked up for whole batches.
 
 Fitting takes a bounded sample (`FIT_ROWS`); scoring covers every row. Defined results: a null
-text scores as the empty text; without any labelled row every score is 0.5, with labels of one
-class only the smoothed share of label 1; repeated rows get equal scores; an empty table gives
-an empty result; only doc_id, text and the label are read, whatever other columns there are.
+text scores as the empty text; texts of any length are measured whole; without any labelled row
+every score is 0.5, with labels of one class only the smoothed share of label 1; repeated rows get
+equal scores; a labelled doc_id with several texts is fitted to once, by the text with the smallest
+hash; an empty table gives an empty result; only doc_id, text and the label are read, whatever
+other columns there are.
 """
 
 from __future__ import annotations

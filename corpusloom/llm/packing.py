@@ -5,9 +5,12 @@ sequences of the full width first. Every piece is a sequence of its own, so no s
 documents and none needs padding; sequences of equal length form one bucket, and sequence ids
 run through the buckets one after another, longest first.
 
+Special strings of the vocabulary that stand in a text are ordinary text (encode_special_tokens).
+
 Defined results: a null or empty text has the end id alone, one piece of length one; texts of
-any length are cut whole; repeated rows are packed one by one; an empty table gives an empty
-result; only doc_id and text are read, whatever other columns there are.
+any length are cut whole; a row without doc_id is packed like any other, its pieces have a null
+doc_id; repeated rows are packed one by one; an empty table gives an empty result; only doc_id
+and text are read, whatever other columns there are.
 """
 
 from __future__ import annotations

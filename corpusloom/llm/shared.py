@@ -25,6 +25,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def visiting(packs: DataFrame) -> DataFrame:
+    """Rows of tiles sent to the lanes they visit, so that every two tiles meet in one lane.
+
+    packs(tile, tiles, ..): tile from 0, tiles is how many there are. A tile stays in its own lane
+    (offset 0) and visits half of the others in a circle; of two that face each other one does.
+    """
+    half = F.expr("(tiles - if(tiles % 2 = 0 AND 2 * tile >= tiles, 1, 0)) div 2")
+    return packs.withColumn("offset", F.explode(F.sequence(F.lit(0).cast("long"), half))).withColumn(
+        "lane", F.pmod(F.col("tile") + F.col("offset"), F.col("tiles"))
+    )
+
+
 def worker_store() -> dict:
     """A dictionary that lives as long as the Python worker and is shared by its tasks.
 
@@ -59,7 +71,8 @@ def labelled_sample(
     """At most `limit` labelled training documents (doc_id, label, text), spread by hash.
 
     The bound is on what a model is fitted to; scores cover all rows. Of several labels of
-    one document the largest counts; rows without document id or label are left out.
+    one document the largest counts, of several texts the one with the smallest hash; rows
+    without document id or label are left out.
     The chosen ids are bounded by `limit`, which is what makes their broadcast safe.
     """
     usable = (
@@ -69,4 +82,6 @@ def labelled_sample(
         .agg(F.max("label").alias("label"))
     )
     chosen = hash_sample(usable, "doc_id", limit)
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    first = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text")))
+    return found.groupBy("doc_id", "label").agg(first.alias("text"))

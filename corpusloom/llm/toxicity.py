@@ -6,8 +6,12 @@ and more are three terms. Presence counts, not frequency, so that a few words we
 long and short texts. Every term has a linear weight and a latent vector, whose products add
 weight to pairs of terms that no single weight has.
 
-Terms are screened first: only those whose presence goes with the label, by a chi-squared
-statistic over the sample, take part; the statistic is summed by Spark over the sample's terms.
+Terms are screened first: those whose presence goes with the label, by a chi-squared statistic
+over the sample, take part; the statistic is summed by Spark over the sample's terms. Words that
+tell nothing alone take part where two of them together do: all pairs of words are counted, by
+products of blocks of word-by-document matrices, and a pair counts where its documents are
+labelled more often than chance would give among all pairs that were looked at, and than either
+word's own are. The number of terms has no bound but that of the sample.
 
 Fitting takes a bounded sample (`FIT_ROWS`), scoring covers every row and whole texts. Defined
 results: a null, empty or wordless text has no terms and gets the score of the intercept; without
@@ -20,25 +24,30 @@ from __future__ import annotations
 import hashlib
 import re
 from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.chunks import Memory
-from corpusloom.llm.shared import labelled_sample, stored, worker_store
+from corpusloom.llm.shared import labelled_sample, stored, visiting, worker_store
 
-#: Labelled documents that a model is fitted to, and terms that take part, at most.
+#: Labelled documents that a model is fitted to, at most.
 FIT_ROWS = 12_000
-FIT_TERMS = 1_000
 BUCKET_BITS = 22
 PREFIXES = (4, 5, 6, 7, 8)
 #: A term takes part from this chi-squared statistic and so many documents on.
 LEAST_CHI2 = 20.0
 LEAST_DOCS = 3
+#: Labelled documents that a pair of words must share; how rarely chance may give one of all pairs.
+LEAST_PAIR_DOCS = 8
+PAIR_CHANCE = 0.01
+#: Words of a block; two blocks meet in a task.
+BLOCK_WORDS = 1_024
 
 _WORDS = re.compile(r"[^\W_]+").findall
 
@@ -60,6 +69,11 @@ def buckets(word: str) -> bytes:
     return array("i", _hashed(word)).tobytes()
 
 
+def word_bucket(word: str) -> int:
+    """The bucket of the word itself, without its beginnings."""
+    return _hashed(word)[0]
+
+
 def terms(packed: bytes) -> np.ndarray:
     """The terms of a text from the buckets of its words: a bucket and how often it is met."""
     bucket, n = np.unique(np.frombuffer(packed, "<i4"), return_counts=True)
@@ -149,45 +163,155 @@ def fit_machine(
     return FactorizationMachine(chosen, bias, linear, latent)
 
 
+def excess(hits: np.ndarray, n: np.ndarray, share: float) -> np.ndarray:
+    """How far `hits` of n documents lie above a share: -log of the chance, by Chernoff's bound."""
+    hits, n = hits.astype(np.float64), n.astype(np.float64)
+    rate = np.clip(hits / np.maximum(n, 1), 1e-12, 1 - 1e-12)
+    spread = rate * np.log(rate / share) + (1 - rate) * np.log((1 - rate) / (1 - share))
+    return np.where(rate > share, n * spread, 0.0)
+
+
+@dataclass
+class _Words:
+    """A block of words: their buckets, and a matrix of the documents that hold them."""
+
+    buckets: np.ndarray
+    held: np.ndarray
+    own: np.ndarray
+
+    @classmethod
+    def unpack(cls, row: dict, toxic: np.ndarray) -> _Words:
+        words, sizes, places = (np.frombuffer(row[c], "<i4") for c in ("words", "sizes", "places"))
+        held = np.zeros((len(toxic), len(words)), dtype=np.float32)
+        held[places, np.repeat(np.arange(len(words)), sizes)] = 1
+        return cls(words, held, excess(held[toxic].sum(axis=0), held.sum(axis=0), toxic.mean()))
+
+    def telling(self, other: _Words, toxic: np.ndarray, least: float) -> np.ndarray:
+        """Buckets of words that tell together with a word of the other block, and not alone."""
+        hits = self.held[toxic].T @ other.held[toxic]
+        if not (hits >= LEAST_PAIR_DOCS).any():
+            return np.zeros(0, np.int32)
+        together = excess(hits, self.held.T @ other.held, toxic.mean())
+        alone = np.maximum(self.own[:, None], other.own)
+        i, j = np.nonzero((hits >= LEAST_PAIR_DOCS) & (together >= least) & (together >= 2 * alone))
+        apart = self.buckets[i] != other.buckets[j]
+        return np.unique(np.concatenate([self.buckets[i[apart]], other.buckets[j[apart]]]))
+
+
+def pair_words(sample: DataFrame) -> DataFrame:
+    """Buckets (word) of the words of sample(label, words) that tell in pairs.
+
+    Documents of equal words count once. Postings are at most as long as the sample, and a block
+    of them is the unit of work; of two blocks one visits the other.
+    """
+    spark = sample.sparkSession
+    distinct = sample.select("label", F.sort_array("words").alias("words")).distinct()
+    numbered = stored(
+        distinct.withColumn("place", F.row_number().over(Window.orderBy("words", "label")) - 1),
+        "toxicity-places",
+    )
+    marks = numbered.select("place", "label").orderBy("place").collect()  # as many as the sample
+    toxic = np.array([row["label"] > 0 for row in marks], dtype=bool)
+    if not toxic.any() or toxic.all():
+        return spark.createDataFrame([], "word int")
+    postings = stored(
+        numbered.select("place", "label", F.explode("words").alias("word"))
+        .groupBy("word")
+        .agg(F.sum("label").alias("hits"), F.collect_list("place").alias("places"))
+        .filter(F.col("hits") >= LEAST_PAIR_DOCS),
+        "toxicity-postings",
+    )
+    n_words = postings.count()
+    tiles = max(1, -(-n_words // BLOCK_WORDS))
+    least = float(np.log(max(1, n_words * (n_words - 1) // 2) / PAIR_CHANCE))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row for each block; rows come sorted by it."""
+        at, words, places = None, [], []
+
+        def flush() -> pa.RecordBatch:
+            values = (words, [len(p) for p in places], [x for p in places for x in p])
+            columns = [pa.array([np.array(v, "<i4").tobytes()], pa.binary()) for v in values]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([at], pa.int64()), *columns], ["tile", "words", "sizes", "places"]
+            )
+
+        for batch in batches:
+            for tile, word, held in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if tile != at and words:
+                    yield flush()
+                    words, places = [], []
+                at = tile
+                words.append(word)
+                places.append(held)
+        if words:
+            yield flush()
+
+    packs = stored(
+        postings.withColumn("tile", F.pmod(F.xxhash64("word"), F.lit(tiles)))
+        .select("tile", "word", "places")
+        .repartition("tile")
+        .sortWithinPartitions("tile", "word")
+        .mapInArrow(pack, "tile long, words binary, sizes binary, places binary"),
+        "toxicity-blocks",
+    )
+    marked = spark.sparkContext.broadcast(toxic)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by lane and offset: the block of a lane first, then its visitors."""
+        labels, at, staying = marked.value, None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                block = _Words.unpack(row, labels)
+                if row["offset"] == 0:
+                    at, staying = row["lane"], block
+                elif row["lane"] != at:
+                    continue  # no word fell into the block that stays in this lane
+                found = staying.telling(block, labels, least)
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32())], ["word"])
+
+    visits = visiting(packs.withColumn("tiles", F.lit(tiles).cast("long")))
+    met = visits.repartition(2 * tiles, "lane").sortWithinPartitions("lane", "offset")
+    return met.mapInArrow(compare, "word int").distinct()
+
+
 def train_toxicity(
-    documents: DataFrame,
-    labels: DataFrame,
-    limit: int = FIT_ROWS,
-    max_terms: int = FIT_TERMS,
-    label: str = "toxic",
+    documents: DataFrame, labels: DataFrame, limit: int = FIT_ROWS, label: str = "toxic"
 ) -> FactorizationMachine:
     """Screen the terms, then fit to the labelled training documents."""
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("terms array<int>, words array<int>")
     def hashed(texts: pa.Array) -> pa.Array:
-        packed = (b"".join(map(buckets, words(t))) for t in texts.to_pylist())
-        return pa.array([terms(x).astype(np.int32) for x in packed], pa.list_(pa.int32()))
+        found = [words(t) for t in texts.to_pylist()]
+        every = [terms(b"".join(map(buckets, w))).astype(np.int32) for w in found]
+        whole = [sorted(set(map(word_bucket, w))) for w in found]
+        kind = pa.list_(pa.int32())
+        return pa.StructArray.from_arrays([pa.array(every, kind), pa.array(whole, kind)], ["terms", "words"])
 
     sample = stored(
-        labelled_sample(documents, labels, label, limit).select(
-            "doc_id", F.least("label", F.lit(1)).alias("label"), hashed("text").alias("terms")
-        ),
+        labelled_sample(documents, labels, label, limit)
+        .select("doc_id", F.least("label", F.lit(1)).alias("label"), hashed("text").alias("found"))
+        .select("doc_id", "label", "found.terms", "found.words"),
         "toxicity-sample",
     )
-    totals = sample.groupBy("doc_id").agg(F.max("label").alias("label")).agg(
-        F.count("*"), F.coalesce(F.sum("label"), F.lit(0))
-    ).first()
+    totals = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     n, n_toxic = int(totals[0]), int(totals[1])
     a, both = F.col("toxic"), F.col("docs")
     expected = both * (n_toxic / max(n, 1))
     spread = F.greatest(expected * (1 - both / max(n, 1)) * (1 - n_toxic / max(n, 1)), F.lit(1e-9))
-    counts = (
+    single = (
         sample.select("label", F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("docs"), F.sum("label").alias("toxic"))
         .filter(both >= LEAST_DOCS)
         .withColumn("chi2", (a - expected) * (a - expected) / spread)
         .filter(F.col("chi2") >= LEAST_CHI2)
-        .orderBy(F.desc("chi2"), "term")
-        .limit(max_terms)
         .select("term")
     )
-    chosen = np.array(sorted(r["term"] for r in counts.collect()), dtype=np.int64)
+    # Presence of a word is the first level of its bucket.
+    paired = pair_words(sample.select("label", "words")).select((4 * F.col("word") + 1).alias("term"))
+    found = single.unionByName(paired).distinct()
+    chosen = np.array(sorted(r["term"] for r in found.collect()), dtype=np.int64)
     known = set(chosen.tolist())
 
     @F.arrow_udf("array<int>")
@@ -196,7 +320,7 @@ def train_toxicity(
         return pa.array(rows, pa.list_(pa.int32()))
 
     rows = sample.select("doc_id", "label", screened("terms").alias("terms")).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["terms"]))
+    rows.sort(key=lambda r: r["doc_id"])
     docs = [np.searchsorted(chosen, np.array(r["terms"], dtype=np.int64)) for r in rows]
     return fit_machine(docs, np.array([r["label"] for r in rows], dtype=np.float64), chosen)
 

@@ -62,3 +62,27 @@ def test_edges_and_no_labels(spark, edge_docs, edge_texts, no_docs):
     assert no_docs.select(gam.quality_score(no_docs["text"], model)).count() == 0
     kept = gam.classifier_filter(edge_docs, model, 0.0)
     assert kept.columns == edge_docs.columns and kept.count() == len(edge_texts)
+
+
+def test_score_equals_a_plain_sum_of_looked_up_tables():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(500, 4)).round(2)
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float)
+    model = gam.fit_gam(x, y)
+    for row, score in zip(x, model.scores(x), strict=True):
+        place = lambda cuts, value: sum(1 for c in cuts if c <= value)
+        total = model.intercept
+        for cuts, table, value in zip(model.cuts, model.tables, row, strict=True):
+            total += table[place(cuts, value)]
+        for a, b, table in model.pairs:
+            total += table[place(model.coarse[a], row[a])][place(model.coarse[b], row[b])]
+        assert abs(score - 1 / (1 + np.exp(-total))) < 1e-9
+
+
+def test_a_repeated_labelled_document_is_fitted_to_once(spark):
+    docs = [(i, f"text number {i} of some words, " * (i % 9 + 1)) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    x = gam.feature_matrix([t for _, t in docs])
+    once = gam.train_quality(frame(docs), labels).scores(x)
+    assert (gam.train_quality(frame(docs + docs[:30] * 3), labels).scores(x) == once).all()

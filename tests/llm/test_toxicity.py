@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import numpy as np
@@ -54,3 +55,85 @@ def test_edges_and_no_labels(spark, edge_docs, edge_texts, no_docs):
     odd = spark.createDataFrame([(4, 1), (9, 0), (None, 1), (5, None)], "doc_id long, toxic int")
     model = toxicity.train_toxicity(edge_docs, odd)
     assert all(0 <= r[0] <= 1 for r in edge_docs.select(toxicity.toxicity_score(edge_docs["text"], model)).collect())
+
+
+def slow_terms(text):
+    """The terms of a text by plain counting."""
+    mask, met = (1 << toxicity.BUCKET_BITS) - 1, {}
+    for word in set(re.findall(r"[^\W_]+", text.lower())):
+        for data in ["=" + word] + ["^" + word[:k] for k in (4, 5, 6, 7, 8) if len(word) >= k]:
+            bucket = zlib.crc32(data.encode()) & mask
+            met[bucket] = met.get(bucket, 0) + 1
+    return sorted(4 * b + level for b, n in met.items() for level in (1, 2, 3) if n >= level)
+
+
+def test_terms_equal_plain_counting():
+    for text in ("", "One word", "walker walking walked WALK walks", "a_b 12 é日 wörter wörtern"):
+        packed = b"".join(map(toxicity.buckets, toxicity.words(text)))
+        assert toxicity.terms(packed).tolist() == slow_terms(text)
+
+
+def pair_rows(seed=2):
+    """Texts in which `lorn` and `vask` are harmless alone, and toxic together."""
+    rng, rows = np.random.default_rng(seed), []
+    filler = [f"filler{i}" for i in range(400)]
+    kinds = [("lorn", 0)] * 300 + [("vask", 0)] * 300 + [("lorn vask", 1)] * 40
+    kinds += [("", 0)] * 320 + [("grumt", 1)] * 40
+    for at, (said, label) in enumerate(kinds):
+        words = [*rng.choice(filler, 30), *said.split()]
+        rng.shuffle(words)
+        rows.append((at, " ".join(words), label))
+    return rows
+
+
+def test_training_finds_a_pair_that_tells_only_together(spark):
+    rows = pair_rows()
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train_toxicity(docs, labels)
+    own = {w: 4 * toxicity.word_bucket(w) + 1 for w in ("lorn", "vask", "grumt", "filler7")}
+    assert own["lorn"] in model.terms and own["vask"] in model.terms
+    assert own["grumt"] in model.terms and own["filler7"] not in model.terms
+    asked = ["lorn", "vask", "lorn vask", "nothing here", "grumt"]
+    frame = spark.createDataFrame([(t,) for t in asked], "text string")
+    scores = {r["text"]: r["s"] for r in frame.select("text", toxicity.toxicity_score(frame["text"], model).alias("s")).collect()}
+    assert scores["lorn vask"] > 0.7 and scores["grumt"] > 0.7
+    assert max(scores["lorn"], scores["vask"], scores["nothing here"]) < 0.3
+
+
+def test_pairs_equal_plain_counting(spark, monkeypatch):
+    """The words found in blocks of three are those of a loop over all pairs."""
+    monkeypatch.setattr(toxicity, "BLOCK_WORDS", 3)
+    rng, rows = np.random.default_rng(6), []
+    for _ in range(240):
+        held = {int(w) for w in np.flatnonzero(rng.random(14) < 0.35)}
+        toxic = int({2, 5} <= held and rng.random() < 0.9 or {7, 11} <= held and rng.random() < 0.8)
+        rows.append((toxic, sorted(held)))
+    rows += rows[:50]
+    frame = spark.createDataFrame(rows, "label int, words array<int>")
+    got = {r["word"] for r in toxicity.pair_words(frame).collect()}
+    docs = [(y, set(ws)) for y, ws in {(y, tuple(ws)) for y, ws in rows}]
+    share = sum(y for y, _ in docs) / len(docs)
+
+    def chance(words):
+        met = [y for y, ws in docs if words <= ws]
+        return float(toxicity.excess(np.array(sum(met)), np.array(len(met)), share)), sum(met)
+
+    often = [w for w in range(14) if chance({w})[1] >= toxicity.LEAST_PAIR_DOCS]
+    least = np.log(len(often) * (len(often) - 1) // 2 / toxicity.PAIR_CHANCE)
+    wanted = set()
+    for a in often:
+        for b in often:
+            together, hits = chance({a, b})
+            if a < b and hits >= toxicity.LEAST_PAIR_DOCS and together >= least:
+                if together >= 2 * max(chance({a})[0], chance({b})[0]):
+                    wanted |= {a, b}
+    assert got == wanted and wanted
+
+
+def test_a_repeated_labelled_document_is_fitted_to_once(spark):
+    rows = pair_rows()
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    frame = lambda r: spark.createDataFrame([(i, t) for i, t, _ in r], "doc_id long, text string")
+    once, again = (toxicity.train_toxicity(frame(r), labels) for r in (rows, rows + rows[:200]))
+    assert once.name == again.name
