@@ -1,24 +1,32 @@
 """URL allow and block rules, matched through a trie of reversed host labels and path segments.
 
 A rule is a host and a path prefix. It fits a url whose host is the rule's or a subdomain of
-it and whose path starts with the rule's. The fitting rule with the most host labels wins,
-among these the one with the longest path; of an allow and a block entry for the same host and
-path, block wins. Where no rule fits, the verdict is the default.
+it and whose path starts with the rule's. The longest fitting rule wins, host and path counted
+together; of two equally long ones the one with the longer host; of an allow and a block entry
+for the same host and path, block. Where no rule fits, the verdict is the default.
+
+The rules go to the tasks as a broadcast list; a Python worker builds its trie once. A url costs
+its host labels and path segments, and for the end of a rule's path the lengths that such ends
+have below one node, however many rules there are.
 
 Defined results: host and path are empty for a null url and one without "://"; ports and user
-names stay part of the host, so they keep a rule from fitting; repeated rows get equal
-verdicts; an empty table gives an empty result; an empty rule set gives the default throughout.
+names stay part of the host, so they keep a rule from fitting; urls of any length are matched
+whole; repeated rows get equal verdicts; an empty table gives an empty result; an empty rule set
+gives the default throughout; columns other than page_id and url are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from hashlib import sha256
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.shared import worker_store
+
 ALLOW, BLOCK = "allow", "block"
 
 #: Characters of all rules together up to which a trie is broadcast; beyond, rules are joined.
@@ -47,15 +55,19 @@ RULES = (
 
 
 class Node:
-    """A trie node: the nodes below it, the rules that end here, and unfinished path tails."""
+    """A trie node: the nodes below it, the rules that end here, and unfinished path tails.
+
+    `lengths` are those of the tails, the longest first.
+    """
 
-    __slots__ = ("below", "paths", "rule", "tails")
+    __slots__ = ("below", "lengths", "paths", "rule", "tails")
 
     def __init__(self) -> None:
         self.below: dict[str, Node] = {}
         self.paths: Node | None = None
         self.rule: UrlRule | None = None
         self.tails: dict[str, UrlRule] = {}
+        self.lengths: list[int] = []
 
 
 def _stronger(old: UrlRule | None, new: UrlRule) -> UrlRule:
@@ -76,6 +88,8 @@ def build_trie(rules: Sequence[UrlRule]) -> Node:
             node = node.below.setdefault(segment, Node())
         if tail:
             node.tails[tail] = _stronger(node.tails.get(tail), rule)
+            if len(tail) not in node.lengths:
+                node.lengths = sorted([*node.lengths, len(tail)], reverse=True)
         else:
             node.rule = _stronger(node.rule, rule)
     return root
@@ -86,8 +100,11 @@ def _longest_path(node: Node, path: str) -> UrlRule | None:
     best = None
     for segment in path.split("/"):
         best = node.rule or best
-        tail = max((t for t in node.tails if segment.startswith(t)), key=len, default="")
-        best = node.tails.get(tail, best)
+        for length in node.lengths:
+            tail = node.tails.get(segment[:length]) if length <= len(segment) else None
+            if tail is not None:
+                best = tail
+                break
         following = node.below.get(segment)
         if following is None:
             return best
@@ -96,14 +113,16 @@ def _longest_path(node: Node, path: str) -> UrlRule | None:
 
 
 def find_rule(root: Node, host: str, path: str) -> UrlRule | None:
-    """Walk down the host labels; the deepest host with a fitting path wins."""
+    """Walk down the host labels; the longest rule that fits on the way wins."""
     best, node = None, root
     for name in reversed(host.split(".")):
         node = node.below.get(name)
         if node is None:
             break
         if node.paths is not None:
-            best = _longest_path(node.paths, path) or best
+            found = _longest_path(node.paths, path)
+            if found is not None and (best is None or len(found.text) >= len(best.text)):
+                best = found
     return best
 
 
@@ -118,10 +137,17 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 
 def _by_trie(pages: DataFrame, rules: Sequence[UrlRule]) -> DataFrame:
-    root = build_trie(rules)
+    flat = [(r.verdict, r.host, r.path) for r in rules]
+    name = sha256(repr(flat).encode()).hexdigest()
+    shared = pages.sparkSession.sparkContext.broadcast(flat)
 
     @F.arrow_udf("struct<rule:string,ruled:string>")
     def match(hosts: pa.Array, paths: pa.Array) -> pa.Array:
+        # One trie, of the last rules: the worker's tasks share it.
+        store = worker_store()
+        if store.get("url_trie", ("",))[0] != name:
+            store["url_trie"] = (name, build_trie([UrlRule(*r) for r in shared.value]))
+        root = store["url_trie"][1]
         found = [
             find_rule(root, h, p)
             for h, p in zip(hosts.to_pylist(), paths.to_pylist(), strict=True)
@@ -168,7 +194,7 @@ def _by_join(pages: DataFrame, rules: Sequence[UrlRule]) -> DataFrame:
         .agg(
             F.max_by(
                 F.struct(F.concat("r_host", "r_path").alias("rule"), "ruled"),
-                F.struct("__depth", "__cut"),
+                F.struct(F.length("r_host") + F.length("r_path"), "__depth"),
             ).alias("__match")
         )
     )

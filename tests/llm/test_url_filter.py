@@ -1,3 +1,5 @@
+import time
+
 from checks.compare import compare
 from corpusloom.llm import url_filter
 from corpusloom.llm.queries import llm_oracles, llm_queries
@@ -11,6 +13,11 @@ RULES = (
     UrlRule(BLOCK, "a.net", "/x/y/z"),
     UrlRule(ALLOW, "b.net", "/"),
     UrlRule(BLOCK, "b.net", "/"),
+    # The longest rule as a whole, though its host is shorter than that of another one.
+    UrlRule(BLOCK, "net", "/a/very/long/path/"),
+    UrlRule(ALLOW, "c.net", "/"),
+    UrlRule(ALLOW, "d.net", "/ab"),
+    UrlRule(BLOCK, "net", "/abcd"),
 )
 
 URLS = [
@@ -38,6 +45,10 @@ URLS = [
     "http://first://x.org/",
     "http://.org/",
     "http://x.org./a",
+    "http://c.net/a/very/long/path/1",
+    "http://c.net/a/very/long/pat",
+    "http://d.net/abcdef",
+    "http://net/" + "a/" * 5_000,
 ]
 
 
@@ -52,7 +63,7 @@ def by_hand(url, rules):
         r for r in rules
         if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)
     ]
-    best = max(fits, key=lambda r: (r.host.count("."), len(r.path), r.verdict), default=None)
+    best = max(fits, key=lambda r: (len(r.text), len(r.host), r.verdict), default=None)
     return host, path, best and best.text, best.verdict if best else ALLOW
 
 
@@ -77,3 +88,16 @@ def test_trie_and_join_equal_brute_force(spark):
 def test_no_rules_and_no_pages(spark):
     assert {r["verdict"] for r in url_filter.url_verdicts(pages(spark, URLS), ()).collect()} == {ALLOW}
     assert url_filter.url_verdicts(pages(spark, []), RULES).count() == 0
+
+
+def test_many_rules_on_one_host_cost_little_a_url():
+    rules = [UrlRule(BLOCK if i % 2 else ALLOW, "x.com", f"/p{i}") for i in range(200_000)]
+    root = url_filter.build_trie(rules)
+    paths = [f"/p{i * 37 % 300_000}/rest" for i in range(20_000)]
+    started = time.process_time()
+    found = [url_filter.find_rule(root, "www.x.com", path) for path in paths]
+    assert time.process_time() - started < 2
+    for path, rule in zip(paths[:300], found, strict=False):
+        number = path.split("/")[1][1:]
+        longest = max((n for n in range(1, len(number) + 1) if str(int(number[:n])) == number[:n] and int(number[:n]) < 200_000), default=0)
+        assert rule.path == f"/p{number[:longest]}"
