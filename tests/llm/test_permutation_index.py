@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -76,3 +77,74 @@ def test_many_equal_vectors_give_the_smallest_ids(spark):
 def test_empty(spark):
     found = permutation_index.nearest(vectors(spark, []), F.col("vec_id") % 100 == 0)
     assert found.count() == 0 and found.columns == ["query_id", "rank", "vec_id", "score"]
+
+
+def nearest_ids(points, asks, k=10):
+    squares = (points * points).sum(axis=1)
+    out = {}
+    for q in asks:
+        gap = squares + squares[q] - 2 * points @ points[q]
+        gap[q] = np.inf
+        out[q] = set(np.argpartition(gap, k)[:k].tolist())
+    return out
+
+
+def test_recall_over_many_blocks(spark):
+    """20,000 vectors without clusters, the hardest kind, in ten blocks at least."""
+    points = np.random.default_rng(4).normal(size=(20_000, 64))
+    points = (points / np.linalg.norm(points, axis=1, keepdims=True)).astype(np.float32).astype(np.float64)
+    frame = vectors(spark, list(enumerate(points.tolist()))).repartition(4)
+    found = permutation_index.nearest(frame, F.col("vec_id") % 200 == 0, block_rows=2_000).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    wanted = nearest_ids(points, range(0, 20_000, 200))
+    assert got.keys() == wanted.keys()
+    assert sum(len(got[q] & wanted[q]) for q in wanted) / (10 * len(wanted)) >= 0.9
+
+
+def test_a_search_costs_less_than_a_scan_of_its_block():
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(permutation_index.BLOCK_ROWS, 64))
+    pivots = permutation_index.choose_pivots(points[:2_048], permutation_index.PIVOTS)
+    order = permutation_index.permutations(points, pivots, permutation_index.PREFIX)
+    block = permutation_index.IndexBlock(np.arange(len(points)), points, order, len(pivots))
+
+    def scan(q):
+        score = np.sqrt(((points - points[q]) ** 2).sum(axis=1))
+        return np.lexsort((np.arange(len(points)), score))[:11]
+
+    times = []
+    for ask in (lambda q: block.search(points[q], order[q], q, 10), scan):
+        ask(0)
+        started = time.process_time()
+        for q in range(60):
+            ask(q)
+        times.append(time.process_time() - started)
+    assert times[0] < times[1]
+
+
+def test_every_dimension_is_searched_by_itself(spark, monkeypatch):
+    monkeypatch.setattr(permutation_index, "PIVOT_SAMPLE", 40)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=5 if i % 3 else 2).astype(np.float32).tolist()) for i in range(600)]
+    rows += [(10_000, [1.0, 2.0, 3.0]), (10_001, [1.0, 2.0, 4.0]), (10_100, [2.0, 2.0, 3.0]), (10_200, [5.0])]
+    found = permutation_index.nearest(vectors(spark, rows), F.col("vec_id") % 100 == 0).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    size, hits, total = {i: len(v) for i, v in rows}, 0, 0
+    for q in (i for i, _ in rows if i % 100 == 0):
+        alike = {i: np.array(v) for i, v in rows if size[i] == size[q]}
+        near = sorted((i for i in alike if i != q), key=lambda i: (((alike[i] - alike[q]) ** 2).sum(), i))[:10]
+        assert len(got.get(q, [])) == len(near) and all(size[i] == size[q] for i in got.get(q, []))
+        hits, total = hits + len(set(near) & set(got.get(q, []))), total + len(near)
+    assert hits / total >= 0.9 and got[10_000] == [10_001, 10_100] and 10_200 not in got
+
+
+def test_a_repeated_query_id_asks_with_its_smallest_vector(spark):
+    rows = [(0, [9.0, 0.0]), (0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [9.0, 1.0])]
+    found = permutation_index.nearest(vectors(spark, rows), F.col("vec_id") == 0).collect()
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in sorted(found, key=lambda r: r["rank"])] == [
+        (1, 1, 1.0), (2, 2, float(np.sqrt(65.0))),
+    ]
