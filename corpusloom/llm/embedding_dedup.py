@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.components import components
 from corpusloom.llm.permutation_index import usable
-from corpusloom.llm.shared import stored
+from corpusloom.llm.shared import stored, visiting
 
 THRESHOLD = 0.95
 #: Distinct vectors of a tile, at most, and bytes of their components, about.
@@ -299,11 +299,8 @@ def tile_links(classes: DataFrame, kind: str, threshold: float, tile_rows: int =
         .mapInArrow(_packed(kind), columns),
         "embedding-packs",
     )
-    # Half of the circle; of two tiles that face each other one visits.
-    half = F.expr("(tiles - if(tiles % 2 = 0 AND 2 * tile >= tiles, 1, 0)) div 2")
-    visits = packs.withColumn("offset", F.explode(F.sequence(F.lit(0).cast("long"), half)))
     return (
-        visits.withColumn("lane", F.pmod(F.col("tile") + F.col("offset"), F.col("tiles")))
+        visiting(packs)
         .drop("tile", "tiles")
         .repartition(2 * lanes, "dim", "lane")
         .sortWithinPartitions("dim", "lane", "offset")

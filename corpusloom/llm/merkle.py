@@ -242,7 +242,8 @@ def merkle_manifest(docs: DataFrame, fanout: int = FANOUT, subtree: int = SUBTRE
         F.lit(None).cast("long").alias("doc_id"),
         F.col("part").alias("altered"),
     )
-    top_base, top_levels = build_tree(subroots, fanout)
+    # Stored, as a part known to be constant would make joins on it products.
+    top_base, top_levels = build_tree(stored(subroots, "merkle-subroots"), fanout)
     found = tree_roots(spark, top_base).first()
     nothing = spark.createDataFrame([("", "")], "part string, path string")
     tops = leaf_paths(spark, top_base, top_levels, nothing, fanout, subtree).select(
