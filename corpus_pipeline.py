@@ -25,11 +25,18 @@ from corpusloom.session import apply_session_conf
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUALITY_THRESHOLD = 0.5
 
+#: The rules of the operator, but short clean texts stay: only texts of hardly a word are too short.
+LEAST_WORDS = 5
+RULES = (
+    quality_rules.Rule("hardly_a_word", lambda view: view.n_words < LEAST_WORDS),
+    *(rule for rule in quality_rules.RULES if rule.name != "few_words"),
+)
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
     apply_session_conf(spark)
-    return quality_rules.quality_filter(docs)
+    return quality_rules.quality_filter(docs, RULES)
 
 
 def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
