@@ -1,5 +1,5 @@
 import corpus_pipeline
-from corpusloom.llm import gam, quality_rules
+from corpusloom.llm import gam
 from corpusloom.llm.features import TextView
 from corpusloom.llm.queries import TOKENIZER
 from corpusloom.llm.shared import table
@@ -10,7 +10,7 @@ from tests.llm.test_simhash import slow_components, slow_fingerprint
 def test_stages_equal_brute_force(spark, small):
     documents = table(spark, small, "documents")
     rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
-    wanted = [r for r in rows if not any(rule.rejects(TextView(r[1])) for rule in quality_rules.RULES)]
+    wanted = [r for r in rows if not any(rule.rejects(TextView(r[1])) for rule in corpus_pipeline.RULES)]
     model = gam.train_quality(documents, table(spark, small, "labels"))
     scores = model.scores(gam.feature_matrix([t for _, t in wanted]))
     wanted = [r for r, s in zip(wanted, scores, strict=True) if s >= 0.5]
@@ -32,8 +32,9 @@ def test_filtering_stages_return_documents(spark, edge_docs, no_docs, small):
 
 
 def test_clean_documents_stay(spark, small):
-    """Documents of good quality pass the classifier."""
+    """Documents of good quality pass the rules and the classifier."""
     documents = table(spark, small, "documents")
-    kept = corpus_pipeline.classifier_stage(spark, documents, small)
+    ruled = corpus_pipeline.quality_stage(spark, documents, small)
+    kept = corpus_pipeline.classifier_stage(spark, ruled, small)
     good = table(spark, small, "labels").filter("quality = 1").join(documents, "doc_id")
     assert good.join(kept, "doc_id", "left_anti").count() <= 0.01 * good.count()
