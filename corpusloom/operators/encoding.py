@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
@@ -23,8 +24,12 @@ from corpusloom.functions.text import literal_pattern, pretokenize_around
 
 BATCH_KEYS = ("epoch", "rank", "batch_no")
 
-# Words an encoding task remembers; the memory is emptied when full.
+# Words an encoding task remembers, and how long they are at most; the memory is emptied when full.
 _REMEMBERED_WORDS = 1 << 17
+_REMEMBERED_LENGTH = 48
+#: Words, and bytes of words and ids, that go to the tasks already encoded.
+_HEAD_WORDS = 1 << 16
+HEAD_BYTES = 8 << 20
 
 
 def merge_table(
@@ -69,51 +74,97 @@ def replay_merges(symbols: str, table: dict[str, tuple[int, str]]) -> str:
     return "".join(c for c in held if c is not None)
 
 
-def _id_lookup(vocab: DataFrame, merges: DataFrame) -> Callable[[Column], Column]:
+class WordMemory:
+    """The ids of words: given ones, and those merged before.
+
+    Long words are merged anew each time, so that what is remembered is bounded in bytes: at most
+    _REMEMBERED_WORDS words of _REMEMBERED_LENGTH characters, some 64 MB.
+    """
+
+    def __init__(self, merges: dict[str, tuple[int, str]], given: dict[str, array]) -> None:
+        self.merges, self.given = merges, given
+        self.held: dict[str, array] = {}
+
+    def ids(self, word: str) -> array:
+        found = self.given.get(word)
+        if found is None:
+            found = self.held.get(word)
+        if found is None:
+            found = array("i", map(symbol_id, replay_merges(symbols_of(word), self.merges)))
+            if len(word) <= _REMEMBERED_LENGTH:
+                if len(self.held) >= _REMEMBERED_WORDS:
+                    self.held.clear()
+                self.held[word] = found
+        return found
+
+
+def frequent_words(word_tokens: DataFrame, most_bytes: int = HEAD_BYTES) -> dict[str, array]:
+    """The most frequent words of word_tokens(word, n, ids) with their ids, bounded in bytes."""
+    rows = (
+        word_tokens.filter(F.length("word") <= _REMEMBERED_LENGTH)
+        .orderBy(F.desc("n"), "word")
+        .select("word", "ids")
+        .limit(_HEAD_WORDS)
+        .toArrow()
+    )
+    head: dict[str, array] = {}
+    for word, ids in zip(rows.column("word").to_pylist(), rows.column("ids").to_pylist(), strict=True):
+        most_bytes -= len(word.encode()) + 4 * len(ids)
+        if most_bytes < 0:
+            break
+        head[word] = array("i", ids)
+    return head
+
+
+def _id_lookup(
+    vocab: DataFrame, merges: DataFrame, word_tokens: DataFrame | None = None
+) -> Callable[[Column], Column]:
     """A column function from arrays of words to arrays of ids.
 
-    Only the vocabulary and the merges go to the tasks; both hold at most vocab_size rows.
+    The vocabulary and the merges go to the tasks, at most vocab_size rows of both, and the head
+    of the words already encoded, at most HEAD_BYTES.
     """
     spark = vocab.sparkSession
     rows = vocab.select("id", "token", "special").collect()
     ranked = merges.orderBy("rank").select("left", "right", "merged").collect()
     ids = {row["token"]: row["id"] for row in rows}
     table = merge_table([tuple(row) for row in ranked], ids)
-    specials = {row["token"]: [row["id"]] for row in rows if row["special"]}
-    shared = spark.sparkContext.broadcast((table, specials))
+    given = {} if word_tokens is None else frequent_words(word_tokens)
+    given |= {row["token"]: array("i", [row["id"]]) for row in rows if row["special"]}
+    shared = spark.sparkContext.broadcast((table, given))
 
     @F.pandas_udf("array<int>")
     def lookup(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        merges_by_pair, special_ids = shared.value
-        memory: dict[str, list[int]] = dict(special_ids)
+        memory = WordMemory(*shared.value)
         for texts in batches:
-            out = []
+            out: list[array | None] = []
             for words in texts:
-                encoded: list[int] = []
+                encoded = array("i")
                 for word in words if words is not None else ():
-                    found = memory.get(word)
-                    if found is None:
-                        if len(memory) >= _REMEMBERED_WORDS:
-                            memory = dict(special_ids)
-                        merged = replay_merges(symbols_of(word), merges_by_pair)
-                        found = memory[word] = [symbol_id(c) for c in merged]
-                    encoded += found
+                    encoded += memory.ids(word)
                 out.append(encoded if words is not None else None)
             yield pd.Series(out, dtype=object)
 
     return lookup
 
 
-def encode(df: DataFrame, vocab: DataFrame, merges: DataFrame, text: str = "text") -> DataFrame:
+def encode(
+    df: DataFrame,
+    vocab: DataFrame,
+    merges: DataFrame,
+    text: str = "text",
+    word_tokens: DataFrame | None = None,
+) -> DataFrame:
     """Add the token ids of whole texts. Special tokens in a text are matched first.
 
     Texts are cut into words by generated code; tasks map words to ids and remember them,
-    so a frequent word is merged once per task. No shuffle, and no begin or end token is
-    added: those are part of the prepared text.
+    so a frequent word is merged once per task, or not at all where word_tokens(word, n, ids)
+    of the same merges are given. No shuffle, and no begin or end token is added: those are
+    part of the prepared text.
     """
     specials = [r["token"] for r in vocab.filter("special").select("token").collect()]
     words = pretokenize_around(F.col(text), specials)
-    return df.withColumn("ids", _id_lookup(vocab, merges)(words))
+    return df.withColumn("ids", _id_lookup(vocab, merges, word_tokens)(words))
 
 
 def encode_words(words: DataFrame, vocab: DataFrame, merges: DataFrame) -> DataFrame:

@@ -54,6 +54,24 @@ def pair_counts(words: DataFrame) -> DataFrame:
     )
 
 
+def pair_merges(counts: DataFrame, at_most: int | None = None) -> DataFrame:
+    """Merges that join single bytes, the most frequent pairs first: a vocabulary without training.
+
+    counts(left, right, n) are those of pair_counts over bytes, 65,536 at most, so one window over
+    them is small. Ties go to the smaller left byte, then right byte.
+    """
+    shown = byte_characters()
+    visible = F.create_map(*[F.lit(x) for b, c in shown.items() for x in (f"{b:02X}", c)])
+    order = Window.orderBy(F.desc("n"), "left", "right")
+    ranked = counts.filter("n > 1").withColumn("rank", F.row_number().over(order) - 1)
+    ranked = ranked if at_most is None else ranked.filter(F.col("rank") < at_most)
+    return ranked.select(
+        "rank",
+        F.element_at(visible, F.col("left")).alias("left"),
+        F.element_at(visible, F.col("right")).alias("right"),
+    ).withColumn("merged", F.concat("left", "right"))
+
+
 def base_vocab(spark: SparkSession, tokens: SpecialTokens = SpecialTokens()) -> DataFrame:
     """The trained specials and the 256 bytes: ids 0 to 260."""
     shown = byte_characters()
@@ -62,6 +80,11 @@ def base_vocab(spark: SparkSession, tokens: SpecialTokens = SpecialTokens()) ->
     return spark.createDataFrame(rows, "id INT, token STRING, special BOOLEAN")
 
 
+def base_size(tokens: SpecialTokens = SpecialTokens()) -> int:
+    """Ids that every trained vocabulary begins with."""
+    return len(tokens.trained) + len(byte_order())
+
+
 def vocab_from_merges(
     spark: SparkSession, merges: DataFrame, tokens: SpecialTokens = SpecialTokens()
 ) -> DataFrame:

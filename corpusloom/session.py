@@ -13,6 +13,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The first hundred thousands of a table come from its sorted partitions, not from all of them.
+    "spark.sql.execution.topKSortFallbackThreshold": "50000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # The last one of equal keys counts, as in Python's JSON reader.

@@ -5,6 +5,7 @@ import random
 import time
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +88,67 @@ def test_merges_do_not_depend_on_the_rounds(spark, monkeypatch, seed, held):
     assert got == brute_force_merges(list(words.items()), 261 + 25)
 
 
+@pytest.mark.parametrize(("kept", "least", "merges"), [(40, 12, 30), (9, 3, 15), (1, 0, 5)])
+def test_merges_do_not_depend_on_the_pairs_kept(spark, monkeypatch, kept, least, merges):
+    """Pairs left out are counted anew in time, and words set aside come back."""
+    monkeypatch.setattr(bpe, "_KEPT_PAIRS", kept)
+    monkeypatch.setattr(bpe, "_LEAST_KEPT", least)
+    rng = random.Random(kept)
+    words = {"".join(rng.choices("abcdefgh", k=rng.randint(1, 9))): rng.randint(1, 9) for _ in range(90)}
+    words |= {"a" * 21: 3, "abc": 10, "bc": 20, "ab": 25, "zq": 2, "y": 4}
+    got = learned(spark, list(words.items()), 261 + merges)
+    assert got == brute_force_merges(list(words.items()), 261 + merges)
+
+
+def test_words_come_back_with_their_final_ids(spark):
+    words = {"naïve": 7, "nave": 5, " wave": 4, "日本語": 3, "x": 9, "q" * 300: 2, "日": 3}
+    frame = spark.createDataFrame(list(words.items()), "word STRING, n BIGINT")
+    tokenizer = bpe.train_bpe(frame, Settings(vocab_size=261 + 12))
+    shown = {r["id"]: r["token"] for r in tokenizer.vocab.collect()}
+    byte_of = {c: b for b, c in symbols.byte_characters().items()}
+    rows = tokenizer.word_tokens.collect()
+    assert {r["word"]: r["n"] for r in rows} == words
+    for r in rows:
+        assert bytes(byte_of[c] for i in r["ids"] for c in shown[i]).decode() == r["word"]
+    merges = [(r["left"], r["right"], r["merged"]) for r in tokenizer.merges.orderBy("rank").collect()]
+    table = encoding.merge_table(merges, {token: i for i, token in shown.items()})
+    for r in rows:
+        replayed = encoding.replay_merges(symbols.symbols_of(r["word"]), table)
+        assert r["ids"] == [symbols.symbol_id(c) for c in replayed]
+
+
+def test_a_pair_table_finds_pairs_whose_slots_collide():
+    rng = np.random.default_rng(1)
+    codes = bpe.pair_codes(rng.integers(0, 900, 30_000), rng.integers(0, 900, 30_000))
+    held = np.unique(codes)[::3]
+    rng.shuffle(held)
+    table = bpe.PairTable(held)
+    left, right = rng.integers(0, 1_200, 50_000).astype(np.uint32), rng.integers(0, 1_200, 50_000).astype(np.uint32)
+    at, index = table.find(left, right)
+    where = {int(code): i for i, code in enumerate(held)}
+    asked = bpe.pair_codes(left, right).tolist()
+    assert dict(zip(at.tolist(), index.tolist(), strict=True)) == {
+        i: where[code] for i, code in enumerate(asked) if code in where
+    }
+
+
+def test_long_words_are_not_remembered():
+    table = encoding.merge_table([("a", "b", "ab")], {"a": 70, "b": 71, "ab": 300})
+    memory = encoding.WordMemory(table, {})
+    for i in range(200):
+        assert len(memory.ids(f"{i:04d}" + "x" * 10_000)) == 10_004
+    assert not memory.held
+    assert memory.ids("abc") is memory.ids("abc") and len(memory.held) == 1
+
+
+def test_given_words_are_bounded_in_bytes(spark):
+    rows = [(f"word{i:05d}", 10_000 - i, [i, i + 1]) for i in range(2_000)] + [("y" * 10_000, 99_999, [1] * 10_000)]
+    frame = spark.createDataFrame(rows, "word STRING, n BIGINT, ids ARRAY<INT>")
+    head = encoding.frequent_words(frame, most_bytes=17 * 100)
+    assert list(head) == [f"word{i:05d}" for i in range(100)]
+    assert head["word00007"].tolist() == [7, 8]
+
+
 def test_registered_query_learns_every_merge_of_the_library(spark, data):
     """The query as registered, over a vocabulary of several thousand merges."""
     tokenizers = pytest.importorskip("tokenizers")
