@@ -253,6 +253,23 @@ MERGED = f"""t(step, kind, word, n, a) AS (
 
 TRAINED = f"WITH RECURSIVE {BPE}, {MERGED}"
 
+# Of the ids of bytes, those shown by a character from 256 on.
+PAIRED = f"""WITH w AS (
+        SELECT {_byte_list('word')} AS b, word, count(*) AS n FROM (
+          SELECT unnest({_words('text')}) AS word FROM documents) GROUP BY word),
+      p AS (SELECT unnest(list_transform(range(1, len(b)), lambda i:
+        struct_pack(l := b[i], r := b[i + 1]))) AS pair, n FROM w),
+      counted AS (SELECT pair.l AS l, pair.r AS r, sum(n) AS n FROM p GROUP BY 1, 2 HAVING sum(n) > 1),
+      bytes AS (SELECT printf('%02X', v) AS hex, {_BYTE_ID} AS id, CASE WHEN {_BYTE_ID} < 193
+        THEN chr(v) ELSE chr(256 + {_BYTE_ID} - 193) END AS token
+        FROM (SELECT unnest(range(256))::INT AS v)),
+      vocab AS (
+        SELECT unnest([0, 1, 2, 3, 4]) AS id,
+          unnest(['<s>', '<pad>', '</s>', '<unk>', '<mask>']) AS token, true AS special
+        UNION ALL SELECT id, token, false FROM bytes
+        UNION ALL SELECT 260 + row_number() OVER (ORDER BY n DESC, l, r), a.token || b.token, false
+          FROM counted JOIN bytes a ON a.hex = l JOIN bytes b ON b.hex = r)"""
+
 METRICS = """m AS (
       SELECT user_id AS run_id,
         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS micro,
@@ -341,6 +358,9 @@ _ORACLES: dict[str, str] = {
     "prepared_report": f"WITH {DIRTY} SELECT source, lang, count(*) AS n_examples,"
     " sum(length(text) + 7)::BIGINT AS n_chars, max(length(text) + 7) AS longest"
     f" FROM dirty WHERE {_not_blank('text')} GROUP BY source, lang",
+    "run_report": f"""{PAIRED}, {PARSED} SELECT phase, count(*) AS n_examples,
+        sum(length(text))::BIGINT AS n_chars, max(length(text)) AS longest,
+        (SELECT count(*) FROM vocab) AS vocab_size FROM prepared GROUP BY phase""",
     "vocab_roundtrip": f"{TRAINED} SELECT id::BIGINT AS id, token, special FROM vocab",
     "run_state_latest": f"WITH {HISTORY} SELECT state_key, coalesce(stamped_owner, 'none') AS"
     " stamped_owner, global_step, completed, updated_at FROM latest",
@@ -373,6 +393,20 @@ _ORACLES: dict[str, str] = {
           WHEN processor = 'sql' THEN 'null_result' ELSE 'error' END AS outcome,
         lang, count(*) AS n
       FROM read, (VALUES ('native'), ('sql'), ('python')) AS p(processor) GROUP BY ALL""",
+    "rejected_rows": f"""WITH {DIRTY}, {JSON}, everything AS (
+        SELECT doc_id, lang, text, false AS plain FROM js
+        UNION ALL SELECT doc_id, lang, text, true FROM dirty),
+      read AS (
+        SELECT doc_id, lang, coalesce({_not_blank('text')}, false) AS filled, CASE
+          WHEN plain OR NOT coalesce(json_valid(text), false) THEN false
+          ELSE coalesce(json_type(text, '$.content') = 'VARCHAR', false) END AS good
+        FROM everything)
+      SELECT 'pretrain' AS phase, doc_id, lang,
+        CASE WHEN filled THEN 'null_result' ELSE 'blank' END AS reject_reason
+      FROM read WHERE NOT (filled AND good)""",
+    "stream_rejected": f"""SELECT 0::BIGINT AS batch, doc_id, text,
+        CASE WHEN coalesce({_not_blank('text')}, false) THEN 'null_result' ELSE 'blank' END AS reject_reason
+      FROM documents WHERE NOT coalesce({_not_blank('text')} AND contains(text, chr(10)), false)""",
     "empty_batches": f"""WITH {DIRTY}, numbered AS (
         SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS batch_no,
           coalesce({_not_blank('text')}, false) AS ok FROM dirty)
@@ -425,6 +459,19 @@ _ORACLES: dict[str, str] = {
     "bpe_train": f"""{TRAINED} SELECT (step - 1)::BIGINT AS rank,
         string_split(word, chr(2))[1] AS "left", string_split(word, chr(2))[2] AS "right",
         replace(word, chr(2), '') AS merged FROM t WHERE kind = 'm'""",
+    "bpe_first_merges": f"""{TRAINED} SELECT (step - 1)::BIGINT AS rank,
+        string_split(word, chr(2))[1] AS "left", string_split(word, chr(2))[2] AS "right",
+        replace(word, chr(2), '') AS merged FROM t WHERE kind = 'm'""",
+    "pair_vocab_layout": f"{PAIRED} SELECT id::BIGINT AS id, token, special FROM vocab",
+    "pair_vocab_sizes": f"""{PAIRED} SELECT stage, (count(*) + extra)::BIGINT AS n_tokens,
+        sum((NOT special)::INT)::BIGINT AS n_plain
+      FROM vocab, (VALUES ('trained', 0), ('pretrain', 0), ('instruct', 3)) AS s(stage, extra)
+      GROUP BY stage, extra""",
+    "pair_extend_vocab": f"""{PAIRED} SELECT id::BIGINT AS id, token, special FROM vocab
+      UNION ALL SELECT (SELECT max(id) FROM vocab) + ord, token, true
+      FROM (VALUES (1, '<|user|>'), (2, '<|bot|>'), (3, '<|end|>')) AS x(ord, token)""",
+    "pair_token_ids": f"""{PAIRED} SELECT word AS name, word AS token, id::BIGINT AS id
+      FROM w JOIN vocab ON token = word WHERE regexp_full_match(word, '[A-Za-z]+')""",
     "vocab_layout": f"{TRAINED} SELECT id::BIGINT AS id, token, special FROM vocab",
     "vocab_sizes": f"""{TRAINED} SELECT stage, (count(*) + extra)::BIGINT AS n_tokens,
         sum((NOT special)::INT)::BIGINT AS n_plain
@@ -543,12 +590,28 @@ _ORACLES: dict[str, str] = {
         {W * B * A}::BIGINT AS effective_batch, sum(n_ids)::BIGINT AS n_tokens,
         sum(pad_to)::BIGINT AS n_padded, sum(n_kept)::BIGINT AS n_kept
       FROM s WHERE step <= total_steps GROUP BY epoch, step""",
+    "token_budget_rollup": f"""WITH {LABELS}, plan AS (
+        SELECT per_epoch, greatest(1, floor({SETTINGS.epochs} * per_epoch)::BIGINT) AS total_steps
+        FROM (SELECT greatest(1, ((count(*) // {W} + {B} - 1) // {B}) // {A}) AS per_epoch
+          FROM mine)),
+      s AS (SELECT 'instruct' AS phase, per_row.*, epoch * per_epoch + batch_no // {A} + 1 AS step,
+          total_steps
+        FROM per_row, plan)
+      SELECT CASE WHEN grouping(rank) = 0 THEN 'rank' WHEN grouping(step) = 0 THEN 'step'
+          WHEN grouping(epoch) = 0 THEN 'epoch' WHEN grouping(phase) = 0 THEN 'phase' ELSE 'total' END
+          AS level,
+        phase, epoch::BIGINT AS epoch, step, rank::BIGINT AS rank, count(*) AS n_examples,
+        {W * B * A}::BIGINT AS effective_batch, sum(n_ids)::BIGINT AS n_tokens,
+        sum(pad_to)::BIGINT AS n_padded, sum(n_kept)::BIGINT AS n_kept
+      FROM s WHERE step <= total_steps GROUP BY GROUPING SETS (
+        (phase, epoch, step, rank), (phase, epoch, step), (phase, epoch), (phase), ())""",
     "finite_loss": f"WITH {METRICS} SELECT run_id, micro, loss FROM m WHERE isfinite(loss)",
     "nonfinite_streaks": f"WITH {STREAKS} SELECT run_id, micro, streak FROM streaks",
     "abort_points": f"WITH {STREAKS} SELECT run_id, abort_micro, streak FROM aborts",
     "before_abort": f"""WITH {STREAKS} SELECT m.run_id AS run_id, count(*) AS n_micro,
         max(m.micro) AS last_micro FROM m LEFT JOIN aborts ON m.run_id = aborts.run_id
       WHERE abort_micro IS NULL OR m.micro <= abort_micro GROUP BY m.run_id""",
+    "stream_abort_keyed": f"WITH {STREAKS} SELECT run_id, abort_micro, streak FROM aborts",
     "stream_abort": f"WITH {STREAKS} SELECT run_id, abort_micro, streak FROM aborts",
     "log_windows": f"""WITH {WINDOWS} SELECT run_id, step, round(mean_loss, 9) AS mean_loss, n_finite
       FROM emitted""",

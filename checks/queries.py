@@ -15,6 +15,8 @@ from corpusloom.plans import steps
 from corpusloom.session import apply_session_conf, scratch_path
 from corpusloom.sources import run_state, tables, tokenizer_store, views
 from corpusloom.streaming.abort import stream_abort as run_stream_abort
+from corpusloom.streaming.keyed_abort import stream_abort_keyed as run_stream_abort_keyed
+from corpusloom.streaming.prepare import read_stream_rejects
 from corpusloom.streaming.prepare import stream_prepare as run_stream_prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +146,12 @@ def prepared_report(spark: SparkSession, folder: str) -> DataFrame:
     return tables.prepared_report(prepared, "source", "lang")
 
 
+@_query
+def run_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Examples of both phases, and the size of the vocabulary they are trained with."""
+    return tables.run_report(_prepared(spark, folder), _pair_vocab(spark, folder))
+
+
 @_training_query
 def vocab_roundtrip(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
     path = scratch_path(spark, "tokenizer")
@@ -177,11 +185,9 @@ def _state_history(spark: SparkSession, folder: str) -> DataFrame:
     )
     number = F.regexp_extract("owner", "[0-9]+", 0).cast("bigint")
     path = scratch_path(spark, "run-state")
-    known = None
     for part in (F.col("epoch") == 0, F.col("epoch") > 0):
-        states = run_state.stamp_state(progress.filter(part), _custom_key(number))
-        run_state.write_state(run_state.upsert_state(known, states), path)
-        known = run_state.read_state(spark, path)
+        run_state.update_state(run_state.stamp_state(progress.filter(part), _custom_key(number)), path)
+    known = run_state.read_state(spark, path)
     owner = F.regexp_extract("stamped_owner", "[0-9]+", 0).cast("bigint")
     stamp = (
         F.when(owner % 7 == 0, F.lit(None).cast("string"))
@@ -285,6 +291,32 @@ def quarantine_counts(spark: SparkSession, folder: str) -> DataFrame:
     return out
 
 
+@_query
+def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """What a preparation leaves beside the prepared rows: rejected rows and their reasons."""
+    both = views.json_texts(spark, folder).unionByName(views.dirty_texts(spark, folder))
+    path = scratch_path(spark, "prepared")
+    rows = prepare.split_rows(both, JSON_SQL, False, TOKENS)
+    tables.write_prepared(rows.withColumn("phase", F.lit(tables.PRETRAIN)), path)
+    return tables.read_rejected(spark, path).select("phase", "doc_id", "lang", "reject_reason")
+
+
+@_query
+def stream_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that a stream rejects: texts of one line."""
+    base = scratch_path(spark, "stream-rejected")
+    run_stream_prepare(
+        spark,
+        folder,
+        views.table(spark, folder, "documents").schema,
+        f"{base}/rows",
+        f"{base}/checkpoint",
+        processor=CUSTOM_SQL,
+        file_pattern="documents.parquet",
+    )
+    return read_stream_rejects(spark, f"{base}/rows").select("batch", "doc_id", "text", "reject_reason")
+
+
 @_query
 def empty_batches(spark: SparkSession, folder: str) -> DataFrame:
     survived = F.coalesce(text.not_blank(F.col("text")), F.lit(False))
@@ -426,15 +458,56 @@ def bpe_train(spark: SparkSession, folder: str, settings: Settings) -> DataFrame
     )
 
 
+@_query
+def bpe_first_merges(spark: SparkSession, folder: str) -> DataFrame:
+    """The first merges of the whole training; they do not depend on how many follow."""
+    merges = bpe.learn_merges(_words(spark, folder), FULL)
+    first = SETTINGS.vocab_size - vocabulary.base_size(SETTINGS.tokens)
+    return merges.filter(F.col("rank") < first).select(_long("rank"), "left", "right", "merged")
+
+
+def _pair_vocab(spark: SparkSession, folder: str) -> DataFrame:
+    """The vocabulary of all byte pairs that occur twice, by how often they do."""
+    path = scratch_path(spark, "pair-merges")
+    counts = vocabulary.pair_counts(vocabulary.byte_words(_words(spark, folder)))
+    vocabulary.pair_merges(counts).write.parquet(path)
+    return vocabulary.vocab_from_merges(spark, spark.read.parquet(path), TOKENS)
+
+
+@_query
+def pair_vocab_layout(spark: SparkSession, folder: str) -> DataFrame:
+    return _pair_vocab(spark, folder).select(_long("id"), "token", "special")
+
+
+@_query
+def pair_vocab_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    return _sizes_by_stage(_pair_vocab(spark, folder))
+
+
+@_query
+def pair_extend_vocab(spark: SparkSession, folder: str) -> DataFrame:
+    return vocabulary.extend_vocab(_pair_vocab(spark, folder), TOKENS.for_phase(True)).select(
+        _long("id"), "token", "special"
+    )
+
+
+@_query
+def pair_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of all words of the documents that are one token of the pair vocabulary."""
+    vocab = vocabulary.extend_vocab(_pair_vocab(spark, folder), TOKENS.for_phase(True))
+    plain = _words(spark, folder).filter(F.col("word").rlike("^[A-Za-z]+$")).select(
+        F.col("word").alias("name"), F.col("word").alias("token")
+    )
+    return vocabulary.token_ids(vocab, plain).select("name", "token", _long("id"))
+
+
 @_training_query
 def vocab_layout(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
     return _tokenizer(spark, folder, settings).vocab.select(_long("id"), "token", "special")
 
 
-@_training_query
-def vocab_sizes(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+def _sizes_by_stage(vocab: DataFrame) -> DataFrame:
     """Vocabulary size before and after the specials of each phase."""
-    vocab = _tokenizer(spark, folder, settings).vocab
     out = tokenizer_store.vocab_size(vocab).withColumn("stage", F.lit("trained"))
     for phase in (tables.PRETRAIN, tables.INSTRUCT):
         grown = vocabulary.configure_vocab(vocab, phase == tables.INSTRUCT, TOKENS)
@@ -444,6 +517,12 @@ def vocab_sizes(spark: SparkSession, folder: str, settings: Settings) -> DataFra
     return out.select("stage", "n_tokens", "n_plain")
 
 
+@_training_query
+def vocab_sizes(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+    """Vocabulary size before and after the specials of each phase."""
+    return _sizes_by_stage(_tokenizer(spark, folder, settings).vocab)
+
+
 @_training_query
 def extend_vocab(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
     vocab = _tokenizer(spark, folder, settings).vocab
@@ -539,7 +618,9 @@ def encode_bytes(spark: SparkSession, folder: str) -> DataFrame:
 def encode_bpe(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
     tokenizer = _tokenizer(spark, folder, settings)
     vocab = vocabulary.configure_vocab(tokenizer.vocab, True, TOKENS)
-    encoded = encoding.encode(_prepared(spark, folder, heavy=True), vocab, tokenizer.merges)
+    encoded = encoding.encode(
+        _prepared(spark, folder, heavy=True), vocab, tokenizer.merges, word_tokens=tokenizer.word_tokens
+    )
     return encoded.select(
         "phase", "key", F.size("ids").cast("bigint").alias("n_ids"),
         _numbers("ids").alias("ids"),
@@ -743,6 +824,18 @@ def token_budget(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_query
+def token_budget_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = F.size(F.filter("labels", lambda x: x != SETTINGS.ignore_label)).alias("n_kept")
+    sized = _batches(spark, folder, True).select(
+        "phase", "epoch", "rank", "batch_no", "n_ids", "pad_to", kept
+    )
+    return steps.token_budget_rollup(sized, _plan_summary(spark, folder), SETTINGS).select(
+        "level", "phase", _long("epoch"), _long("step"), _long("rank"), "n_examples",
+        _long("effective_batch"), "n_tokens", "n_padded", "n_kept",
+    )
+
+
 # Telemetry
 
 
@@ -776,15 +869,29 @@ def before_abort(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@_query
-def stream_abort(spark: SparkSession, folder: str) -> DataFrame:
+def _metrics_files(spark: SparkSession, folder: str, path: str) -> None:
     """The metrics log in three files, each one trigger, in order of micro-batches."""
-    base = scratch_path(spark, "stream-abort")
     log = views.metrics(spark, folder)
     for low, high in ((0, 20), (20, 41), (41, None)):
         part = log.filter(F.col("micro") >= low)
         part = part if high is None else part.filter(F.col("micro") < high)
-        part.coalesce(1).write.mode("append").parquet(f"{base}/metrics")
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
+@_query
+def stream_abort_keyed(spark: SparkSession, folder: str) -> DataFrame:
+    base = scratch_path(spark, "stream-abort-keyed")
+    _metrics_files(spark, folder, f"{base}/metrics")
+    alerts = run_stream_abort_keyed(
+        spark, f"{base}/metrics", f"{base}/run", NONFINITE_LIMIT, files_per_trigger=1
+    )
+    return alerts.select("run_id", "abort_micro", "streak")
+
+
+@_query
+def stream_abort(spark: SparkSession, folder: str) -> DataFrame:
+    base = scratch_path(spark, "stream-abort")
+    _metrics_files(spark, folder, f"{base}/metrics")
     alerts = run_stream_abort(
         spark, f"{base}/metrics", f"{base}/run", NONFINITE_LIMIT, SETTINGS, files_per_trigger=1
     )
