@@ -51,12 +51,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None:
+        configured = context.getCheckpointDir()
     if configured is None:
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        configured = context.getCheckpointDir() or f"{warehouse}/_scratch"
-        local = configured.startswith(("file:", "/"))
-        if local and not str(getattr(context, "master", "local")).startswith("local"):
-            raise ValueError(f"set spark.checkpoint.dir to a shared folder; {configured} is the driver's own")
+        configured = f"{warehouse}/_scratch"
+        if warehouse.startswith("file:") and not getattr(context, "master", "local").startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder; {warehouse} is the driver's own")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     return configured
