@@ -24,3 +24,12 @@ def test_entry(spark):
     frame = entry(spark)
     assert frame.columns == ["source", "lang", "n_examples", "n_chars", "longest"]
     assert frame.count() > 0
+
+
+@pytest.mark.parametrize("name", ["stream_prepare"])
+def test_a_stream_reads_a_table_of_several_files(spark, data, name, tmp_path):
+    folder = tmp_path / "tables"
+    spark.read.parquet(f"{data}/documents.parquet").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    one, several = (queries()[name](spark, where) for where in (data, str(folder)))
+    assert one.count() == several.count() > 0
+    assert one.exceptAll(several).count() == 0
