@@ -26,7 +26,7 @@ def test_entry(spark):
     assert frame.count() > 0
 
 
-@pytest.mark.parametrize("name", ["stream_prepare"])
+@pytest.mark.parametrize("name", ["stream_prepare", "stream_rejected"])
 def test_a_stream_reads_a_table_of_several_files(spark, data, name, tmp_path):
     folder = tmp_path / "tables"
     spark.read.parquet(f"{data}/documents.parquet").repartition(3).write.parquet(f"{folder}/documents.parquet")
