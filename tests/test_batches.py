@@ -219,3 +219,15 @@ def test_leftover_batches_count_for_the_next_epoch(spark):
         (1, 0, 3, False), (1, 1, 3, True), (1, 2, 4, False), (1, 3, 4, True),
     ]
     assert math.isclose(len(out), 9)
+
+
+def test_steps_are_made_by_many_tasks(spark):
+    settings = Settings(world_size=1, batch_size=1, accumulation=2, epochs=2.5)
+    states = spark.range(64).select(
+        F.concat(F.lit("run-"), F.col("id").cast("string")).alias("owner"),
+        F.lit("pretrain").alias("phase"),
+        F.lit(0).cast("bigint").alias("global_step"),
+    )
+    left = steps.remaining_steps(steps.plan_summary(prepared(spark, 50), settings), states, settings)
+    parts = left.groupBy(F.spark_partition_id().alias("part")).agg(F.countDistinct("owner").alias("n")).collect()
+    assert len(parts) > 4 and sum(r["n"] for r in parts) == 64
