@@ -7,11 +7,14 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.config import Settings
+from checks.queries import all_queries
+from corpusloom.config import Settings, SpecialTokens
+from corpusloom.functions.symbols import byte_order
 from corpusloom.operators import encoding, layout, positions
 from corpusloom.plans import steps
 
 BOT, END = 7, 9
+TOKENS = SpecialTokens()
 
 
 def reference_mask(ids):
@@ -231,3 +234,22 @@ def test_steps_are_made_by_many_tasks(spark):
     left = steps.remaining_steps(steps.plan_summary(prepared(spark, 50), settings), states, settings)
     parts = left.groupBy(F.spark_partition_id().alias("part")).agg(F.countDistinct("owner").alias("n")).collect()
     assert len(parts) > 4 and sum(r["n"] for r in parts) == 64
+
+
+def test_bytes_of_texts_are_looked_up_by_batch(spark):
+    ids = encoding.byte_special_ids(TOKENS, True)
+    texts = [(0, "<s>a<|bot|>é</s>"), (1, None), (2, ""), (3, "<s"), (4, "s></s><|end|><|end|"), (5, "<s><s>")]
+    frame = spark.createDataFrame(texts, "k INT, text STRING").repartition(1)
+    out = frame.select("k", encoding.encode_bytes(F.col("text"), ids).alias("ids"))
+    byte = {b: 5 + place for place, b in enumerate(byte_order())}
+    plain = lambda text: [byte[b] for b in text.encode()]
+    assert {r["k"]: r["ids"] for r in out.collect()} == {
+        0: [ids["<s>"], *plain("a"), ids["<|bot|>"], *plain("é"), ids["</s>"]], 1: None, 2: [], 3: plain("<s"),
+        4: [*plain("s>"), ids["</s>"], ids["<|end|>"], *plain("<|end|")], 5: [ids["<s>"]] * 2,
+    }
+    assert "lambda" not in out._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("name", ["pad_batches"])
+def test_pretraining_batches_run_no_lambda(spark, data, name):
+    assert "lambda" not in all_queries()[name](spark, data)._jdf.queryExecution().toString()
