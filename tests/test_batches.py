@@ -250,6 +250,6 @@ def test_bytes_of_texts_are_looked_up_by_batch(spark):
     assert "lambda" not in out._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("name", ["pad_batches"])
+@pytest.mark.parametrize("name", ["pad_batches", "labels_pretrain"])
 def test_pretraining_batches_run_no_lambda(spark, data, name):
     assert "lambda" not in all_queries()[name](spark, data)._jdf.queryExecution().toString()
