@@ -339,3 +339,20 @@ def test_tokenizer_selection():
     assert select_tokenizer_path("own", "own-it", "given", True, False) == "given"
     assert select_tokenizer_path("own", "own-it", "given", False, True) == "own"
     assert select_tokenizer_path("own", "own-it", "given", True, True) == "own-it"
+
+
+def test_new_words_of_a_batch_are_merged_together(monkeypatch):
+    draw = random.Random(5)
+    letters = [symbols.symbol_id(c) for c in symbols.symbols_of("abcd é")]
+    merges, held = {}, list(letters)
+    while len(merges) < 400:
+        pair = symbols.symbol(draw.choice(held)) + symbols.symbol(draw.choice(held[-60:] + letters))
+        if pair not in merges:
+            held.append(261 + len(merges))
+            merges[pair] = (len(merges), symbols.symbol(held[-1]))
+    words = ["".join(draw.choice("abcd é") for _ in range(draw.randint(1, 30))) for _ in range(3000)] + ["aaaaa", "aa"]
+    expected = {w: [symbols.symbol_id(c) for c in encoding.replay_merges(symbols.symbols_of(w), merges)] for w in words}
+    memory = encoding.WordMemory(merges, {})
+    memory.learn([words, None])
+    monkeypatch.setattr(encoding, "replay_merges", None)  # nothing is left to merge one by one
+    assert {w: list(memory.ids(w)) for w in words} == expected
