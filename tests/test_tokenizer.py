@@ -100,6 +100,35 @@ def test_merges_do_not_depend_on_the_pairs_kept(spark, monkeypatch, kept, least,
     assert got == brute_force_merges(list(words.items()), 261 + merges)
 
 
+def test_pairs_come_to_the_driver_packed(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "_ROW_PAIRS", 64)
+    rng = random.Random(5)
+    words = [("".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=8)), 2) for _ in range(600)]
+    words = sorted(dict(words).items())
+    collect, sizes = type(spark.range(0)).collect, []
+
+    def counted(frame):
+        rows = collect(frame)
+        sizes.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(spark.range(0)), "collect", counted)
+    state = bpe._Training(spark.createDataFrame(words, "word STRING, n BIGINT"), Settings())
+    monkeypatch.undo()
+    every = Counter(pair for w, n in words for pair in zip(w, w[1:]) for _ in range(n))
+    assert sorted(state.leading.counts.tolist()) == sorted(every.values())
+    assert len(every) > 1_000 and max(sizes) < 100
+
+
+@pytest.mark.parametrize("most", [1, 700, 2_000])
+def test_the_first_pairs_come_in_order_also_from_many_small_partitions(spark, monkeypatch, most):
+    monkeypatch.setattr(bpe, "_ROW_PAIRS", 1_000)
+    rows = spark.range(1_500, numPartitions=200).select("id", (F.col("id") * 2).alias("n"))
+    codes, numbers = bpe._Training._first(rows, most)
+    assert codes.tolist() == list(range(min(most, 1_500)))
+    assert numbers.tolist() == [2 * i for i in range(min(most, 1_500))]
+
+
 def test_words_come_back_with_their_final_ids(spark):
     words = {"naïve": 7, "nave": 5, " wave": 4, "日本語": 3, "x": 9, "q" * 300: 2, "日": 3}
     frame = spark.createDataFrame(list(words.items()), "word STRING, n BIGINT")
