@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 import time
 from collections import Counter
 
@@ -10,8 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from checks.queries import _words
 from corpusloom.config import Settings, SpecialTokens
-from corpusloom.functions import symbols
+from corpusloom.functions import symbols, text
 from corpusloom.operators import bpe, encoding, vocabulary
 from corpusloom.plans.jobs import is_instruct_ready
 from corpusloom.sources.tokenizer_store import (
@@ -129,6 +131,27 @@ def test_the_first_pairs_come_in_order_also_from_many_small_partitions(spark, mo
     assert numbers.tolist() == [2 * i for i in range(min(most, 1_500))]
 
 
+def test_words_are_those_of_the_published_pattern(spark):
+    space = text.SPACE_CLASS
+    published = (
+        r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+"
+        rf"| ?[^{space}\p{{L}}\p{{N}}]+|[{space}]+(?![^{space}])|[{space}]+"
+    )
+    rng = random.Random(3)
+    signs = [" "] * 6 + list("stdlrvem'a\u00e91\u0663.,\n\t\u00a0\u3000\x1c\x85\u200b\U0001f600")
+    rows = [("".join(rng.choices(signs, k=rng.randrange(60))),) for _ in range(2_000)]
+    cut = spark.createDataFrame(rows, "text STRING").select(
+        text.pretokenize(F.col("text")).alias("now"),
+        F.regexp_extract_all("text", F.lit(published), F.lit(0)).alias("published"),
+    )
+    assert cut.filter("now <> published").count() == 0
+
+
+def test_counted_texts_use_every_core(spark, data):
+    plan = _words(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(rf"RepartitionByExpression \[doc_id#\d+L?\], {spark.sparkContext.defaultParallelism}\b", plan)
+
+
 def test_words_come_back_with_their_final_ids(spark):
     words = {"naïve": 7, "nave": 5, " wave": 4, "日本語": 3, "x": 9, "q" * 300: 2, "日": 3}
     frame = spark.createDataFrame(list(words.items()), "word STRING, n BIGINT")
