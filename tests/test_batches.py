@@ -2,12 +2,14 @@
 
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from checks.queries import all_queries
+from checks.queries import _prepared, _spelled, all_queries
 from corpusloom.config import Settings, SpecialTokens
 from corpusloom.functions.symbols import byte_order
 from corpusloom.operators import encoding, layout, positions
@@ -253,3 +255,16 @@ def test_bytes_of_texts_are_looked_up_by_batch(spark):
 @pytest.mark.parametrize("name", ["pad_batches", "labels_pretrain"])
 def test_pretraining_batches_run_no_lambda(spark, data, name):
     assert "lambda" not in all_queries()[name](spark, data)._jdf.queryExecution().toString()
+
+
+def test_heavy_texts_use_every_core(spark, data):
+    plan = _prepared(spark, data, heavy=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(rf"RepartitionByExpression \[doc_id#\d+L?\], {spark.sparkContext.defaultParallelism}\b", plan)
+
+
+def test_small_numbers_are_spelled_once():
+    rows = [[[1, 2, 3], [], [0, 261, 261]] * 99, [[1, None, 2], None] * 9, [[-100, 5]] * 3, [[70_000]], [[]], [None], []]
+    for row in rows:
+        whole = pa.array(row, pa.list_(pa.int32()))
+        for some in (whole, whole[1:], whole[1:3]):
+            assert _spelled(some).to_pylist() == some.cast(pa.list_(pa.string())).to_pylist()
