@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.chunks import library_memory, tokenizer_text
+from corpusloom.llm.chunks import batch_encoder, groups, tokenizer_text
 from corpusloom.llm.shared import worker_store
 
 END_ID = 2
@@ -40,36 +40,41 @@ SHARD_TOKENS = 1 << 20
 #: Pairs replaced together in one round, and the separate places that a rule needs.
 ROUND_RULES = 2_048
 LEAST_COUNT = 8
+#: Slots of the table that pairs are looked up in, as a power of two.
+SLOT_BITS = 18
 
 _SCHEMA = (
     "part long, shard long, n_tokens long, doc_ids array<long>, doc_starts array<long>, payload binary"
 )
 
 
-def _frequent_pairs(keys: np.ndarray) -> tuple[np.ndarray, bool]:
-    """The most frequent pair keys, those that occur often enough, sorted; and whether more are left."""
+def _frequent_pairs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pair keys that occur often enough, sorted, and how often they do."""
     ordered = np.sort(keys)
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     counts = np.diff(np.append(first, len(ordered)))
-    often = np.flatnonzero(counts >= LEAST_COUNT)
-    more = len(often) > ROUND_RULES
-    if more:
-        often = np.sort(often[np.argpartition(-counts[often], ROUND_RULES)[:ROUND_RULES]])
-    return ordered[first[often]], more
+    often = counts >= LEAST_COUNT
+    return ordered[first[often]], counts[often]
 
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places whose key is wanted, and the index of that key; by a table of hashed keys."""
+def _slots(keys: np.ndarray) -> np.ndarray:
+    """Slots of a table of hashed keys."""
     kind, width = keys.dtype.type, 8 * keys.dtype.itemsize
-    factor, shift = kind(0x9E3779B1 if width == 32 else 0x9E3779B97F4A7C15), kind(width - 16)
-    slots = np.full(1 << 16, -1, dtype=np.int16)
+    factor, shift = kind(0x9E3779B1 if width == 32 else 0x9E3779B97F4A7C15), kind(width - SLOT_BITS)
+    return (keys * factor) >> shift
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places whose key is wanted, and the index of that key; and places whose key may be one of the frequent ones."""
+    index = np.full(1 << SLOT_BITS, -2, dtype=np.int16)
+    index[_slots(often)] = -1
     # Of two pairs on one slot the later one has it; the other has no places in this round.
-    slots[(wanted * factor) >> shift] = np.arange(len(wanted), dtype=np.int16)
-    index = slots[(keys * factor) >> shift]
+    index[_slots(wanted)] = np.arange(len(wanted), dtype=np.int16)
+    index = index[_slots(keys)]
     maybe = np.flatnonzero(index >= 0)
-    index = index[maybe]
-    right = wanted[index] == keys[maybe]
-    return maybe[right], index[right]
+    which = index[maybe]
+    right = wanted[which] == keys[maybe]
+    return maybe[right], which[right], np.flatnonzero(index >= -1)
 
 
 def _apart(wanted: np.ndarray, step: np.uint32 | np.uint64) -> np.ndarray:
@@ -86,61 +91,91 @@ def _apart(wanted: np.ndarray, step: np.uint32 | np.uint64) -> np.ndarray:
     return wanted[np.sort(kept)]
 
 
+def _find_exactly(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places whose key is wanted, and the index of that key; wanted is sorted."""
+    which = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
+    right = np.flatnonzero(wanted[which] == keys)
+    return right, which[right]
+
+
 def compress(ids: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     """The first nonterminal, the rules (pairs of symbols), their lengths, the symbols left.
 
-    A replacement makes new pairs only beside it, and makes no other pair more frequent. So
-    after a round over the whole sequence the next ones look beside what was replaced, until that
-    gives no rule; then the whole is looked at again if a round left some pair out.
+    Symbols stay at their places, and each place knows the next and the last one in use. A
+    replacement makes new pairs only beside it, and makes no other pair more frequent. So a round
+    looks only where the last one found a frequent pair or replaced one, which it does until there
+    is no such place.
     """
-    symbols = ids.astype(np.uint32)  # a copy, changed in place
-    first = int(symbols.max()) + 1 if len(symbols) else 1
+    n = len(ids)
+    symbols = np.append(ids, 0).astype(np.uint32)  # a copy, changed in place
+    first = int(symbols.max()) + 1
+    after = np.arange(1, n + 2)
+    before = np.arange(-1, n)
+    used = np.ones(n, dtype=bool)
+    places = np.arange(max(n - 1, 0))
     rules: list[np.ndarray] = []
     lengths = np.ones(first, dtype=np.int64)
-    places: np.ndarray | None = None  # where pairs are looked for; None is everywhere
-    owed, alone = True, False
-    while len(symbols) > 1:
-        owed = owed and places is not None
+    alone = False
+    while len(places):
         narrow = len(lengths) <= 1 << 16
         step = np.uint32(16) if narrow else np.uint64(32)
-        left, right = (symbols[:-1], symbols[1:]) if places is None else (symbols[places], symbols[places + 1])
+        left, right = symbols[places], symbols[after[places]]
         keys = ((left if narrow else left.astype(np.uint64)) << step) | right
-        wanted, more = _frequent_pairs(keys) if len(keys) else (keys, False)
-        if alone and len(wanted):
-            wanted, more = _apart(wanted, step), True
-        at, which = _find(keys, wanted) if len(wanted) else (np.zeros(0, np.int64),) * 2
-        at = at if places is None else places[at]
+        often, counts = _frequent_pairs(keys)
+        if not len(often):
+            break
+        if alone:
+            wanted = _apart(often, step)
+            at, which = _find_exactly(keys, wanted)
+            stay, _ = _find_exactly(keys, often)
+        else:
+            most = len(often) - ROUND_RULES
+            wanted = often if most <= 0 else np.sort(often[np.argpartition(counts, most)[most:]])
+            at, which, stay = _find(keys, wanted, often)
         # Of places in a row, every second one from the left can be replaced.
-        begins = np.flatnonzero(np.concatenate([[True], np.diff(at) != 1])) if len(at) else at
+        met_at = places[at]
+        begins = np.flatnonzero(np.concatenate([[True], after[met_at[:-1]] != met_at[1:]])) if len(at) else at
         within = np.arange(len(at)) - np.repeat(begins, np.diff(np.append(begins, len(at))))
-        at, which = at[within % 2 == 0], which[within % 2 == 0]
-        found = np.bincount(which, minlength=len(wanted))
-        met = found >= LEAST_COUNT
-        owed |= more or not met.all()
+        first_of_two = (within & 1) == 0
+        at, which = at[first_of_two], which[first_of_two]
+        met = np.bincount(which, minlength=len(wanted)) >= LEAST_COUNT
         if not met.any():
-            if alone or not len(wanted) and not owed:
-                break
+            if alone:
+                # These pairs meet no rival and still have too few separate places.
+                stay = stay[~np.isin(keys[stay], wanted)]
             # Pairs that took each other's places are tried again without their rivals.
-            alone, places = places is None, None
+            alone, places = True, places[stay]
             continue
         alone = False
         at, which = at[met[which]], which[met[which]]
         place = (len(lengths) - 1 + np.cumsum(met)).astype(np.uint32)
-        used = wanted[met]
+        chosen = wanted[met]
         low = wanted.dtype.type((1 << int(step)) - 1)
-        fresh = np.stack([used >> step, used & low], axis=1).astype(np.uint32)
-        symbols[at] = place[which]
-        stays = np.ones(len(symbols), dtype=bool)
-        stays[at + 1] = False
-        symbols = symbols[stays]
-        now = at - np.arange(len(at))
-        places = np.stack([now - 1, now], axis=1).ravel()
-        new = np.concatenate([[True], places[1:] != places[:-1]])
-        places = places[new & (places >= 0) & (places < len(symbols) - 1)]
+        fresh = np.stack([chosen >> step, chosen & low], axis=1).astype(np.uint32)
         rules.append(fresh)
         lengths = np.concatenate([lengths, lengths[fresh[:, 0]] + lengths[fresh[:, 1]]])
+        at = places[at]
+        gone = after[at]
+        symbols[at] = place[which]
+        used[gone] = False
+        after[at] = after[gone]
+        before[after[at]] = at
+        look = np.zeros(n + 1, dtype=bool)
+        look[places[stay]] = look[at] = look[before[at]] = True
+        look[gone] = look[n] = False  # before the first place stands -1, which is n here
+        places = np.flatnonzero(look)
+        if len(places) and after[places[-1]] == n:
+            places = places[:-1]
     table = np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.uint32)
-    return first, table, lengths[first:], symbols
+    return first, table, lengths[first:], symbols[:n][used]
+
+
+def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places from each start on, as many as its size, one span after another."""
+    ends = np.cumsum(sizes)
+    places = np.repeat(starts - (ends - sizes), sizes)
+    places += np.arange(len(places))
+    return places
 
 
 def _planes(symbols: int) -> range:
@@ -189,18 +224,10 @@ class Shard:
     def all_ids(self) -> np.ndarray:
         """All ids: every rule is expanded once, then copied to where its symbol stands."""
         whole = self._expand(np.arange(self.first, self.first + len(self.rules), dtype=np.uint32))
-        offsets = np.cumsum(self.lengths) - self.lengths
-        inner = self.symbols >= self.first
-        rule = self.symbols[inner].astype(np.int64) - self.first
-        sizes = np.ones(len(self.symbols), dtype=np.int64)
-        sizes[inner] = self.lengths[rule]
-        places = np.cumsum(sizes) - sizes
-        out = np.empty(int(sizes.sum()), dtype=np.uint32)
-        out[places[~inner]] = self.symbols[~inner]
-        spans = sizes[inner]
-        within = np.arange(int(spans.sum())) - np.repeat(np.cumsum(spans) - spans, spans)
-        out[np.repeat(places[inner], spans) + within] = whole[np.repeat(offsets[rule], spans) + within]
-        return out
+        pool = np.concatenate([np.arange(self.first, dtype=np.uint32), whole])
+        sizes = np.concatenate([np.ones(self.first, dtype=np.int64), self.lengths])
+        starts = np.cumsum(sizes) - sizes
+        return pool[_spans(starts[self.symbols], sizes[self.symbols])]
 
     def ids(self, start: int, stop: int) -> np.ndarray:
         """The ids from start to stop, expanding only the symbols that cover them."""
@@ -220,18 +247,17 @@ def write_tokens(
 ) -> None:
     """Encode all documents into shards below the path; `tokenizer` names a tokenizer file."""
     serialized = docs.sparkSession.sparkContext.broadcast(tokenizer_text(tokenizer))
-    end = end_id.to_bytes(4, "little")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = library_memory(serialized.value, worker_store())
+        encoder = batch_encoder(serialized.value, worker_store())
         part, shard = TaskContext.get().partitionId(), 0
         names: list[int | None] = []
         starts: list[int] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         size = 0
 
         def close() -> pa.RecordBatch:
-            payload = pack_payload(np.frombuffer(b"".join(held), dtype="<u4"))
+            payload = pack_payload(np.concatenate(held))
             values = ([part], [shard], [size], [names], [starts], [payload])
             kinds = (
                 pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(),
@@ -242,15 +268,19 @@ def write_tokens(
             )
 
         for batch in batches:
-            for doc_id, text in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
-                tokens = (memory.ids(text) if text else b"") + end
-                names.append(doc_id)
-                starts.append(size)
-                held.append(tokens)
-                size += len(tokens) // 4
-                if size >= shard_tokens:
-                    yield close()
-                    names, starts, held, size, shard = [], [], [], 0, shard + 1
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            for row, stop in groups(texts):
+                ids, counts = encoder.encode(texts.slice(row, stop - row))
+                ids, low, at = np.insert(ids, np.cumsum(counts), end_id), 0, 0
+                for doc_id, count in zip(doc_ids[row:stop], (counts + 1).tolist(), strict=True):
+                    names.append(doc_id)
+                    starts.append(size)
+                    size, at = size + count, at + count
+                    if size >= shard_tokens:
+                        held.append(ids[low:at])
+                        yield close()
+                        names, starts, held, size, shard, low = [], [], [], 0, shard + 1, at
+                held.append(ids[low:at])
         if names:
             yield close()
 

@@ -3,12 +3,13 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from corpusloom.llm import token_store
+from corpusloom.llm import chunks, token_store
 from corpusloom.llm.queries import TOKENIZER, llm_queries
 from corpusloom.llm.shared import table
 from corpusloom.session import scratch_path
@@ -117,3 +118,55 @@ def test_chunked_ids_equal_the_library(text):
 
     memory = library_memory(tokenizer_text(TOKENIZER), {})
     assert np.frombuffer(memory.ids(text), "<u4").tolist() == library()(text)[:-1].tolist()
+
+
+ODD_TEXTS = [
+    None, "", " ", "\n", "word", "a  b", "x \n y", "x\ny z", "x\n\ny z", "end.\nNext line,\nand one",
+    "it's 'll a'b don't", "über Öl ß ª µ × é日", "m5.x@y.com (242) 555-1832", "chie*** thou.&&&\nUng%%% ?!.. _a_ __",
+    "<|endoftext|> a<|endoftext|>b", "a\x00b \x85 c\xa0 \u3000 d", " lead", "trail ", "tab\tbed \x1cx y\x1c z",
+    "x" * 3_000 + " y", "half, and half.\nOf it",
+]
+
+
+@pytest.mark.parametrize("memory", [0, 600_000])
+def test_many_texts_at_once_equal_the_library(monkeypatch, memory):
+    """Whatever stands together, and whether pieces are still remembered or not."""
+    monkeypatch.setattr(chunks, "MEMORY_PIECES", memory)
+    encoder, encode = chunks.BatchEncoder(chunks.LibraryEncoder(chunks.tokenizer_text(TOKENIZER))), library()
+    for texts in (ODD_TEXTS, ODD_TEXTS[::-1], ["one"], [None, ""], ODD_TEXTS[3:7]):
+        for kind in (pa.string(), pa.large_string()):
+            ids, counts = encoder.encode(pa.array([*texts, "cut off"], kind).slice(0, len(texts)))
+            pieces = np.split(ids, np.cumsum(counts)[:-1])
+            assert [p.tolist() for p in pieces] == [encode(t)[:-1].tolist() for t in texts]
+
+
+def test_words_and_marks_take_no_step_each():
+    """Only words not met before go through the library one by one, those of lines and before marks too."""
+    encoder = chunks.BatchEncoder(chunks.LibraryEncoder(chunks.tokenizer_text(TOKENIZER)))
+    encoder.odd, met, merge = None, [], encoder.encoder._merge
+    encoder.encoder._merge = lambda piece: met.append(piece) or merge(piece)
+    texts = pa.array(["Some words, some word.\nSome more words### for über Öl"] * 500)
+    first = encoder.encode(texts)
+    assert 0 < len(met) < 20
+    met.clear()
+    again = encoder.encode(texts)
+    assert not met
+    assert (first[0] == again[0]).all() and (first[1] == again[1]).all()
+
+
+def test_groups_cover_all_rows():
+    texts = pa.array(["x" * n for n in (5, 0, 30, 4, 4, 4)] + [None])
+    assert list(chunks.groups(texts, 10)) == [(0, 3), (3, 7)]
+    assert list(chunks.groups(texts, 51)) == [(0, 7)]
+    assert list(chunks.groups(texts.slice(0, 0), 10)) == []
+    empty = pa.array(["", None, ""])
+    assert list(chunks.groups(empty, 10)) == [(0, 3)]
+
+
+def test_rounds_look_only_where_pairs_are_frequent(monkeypatch):
+    """The whole sequence is looked at once; looking at it again and again was most of the work."""
+    looked, count = [], token_store._frequent_pairs
+    monkeypatch.setattr(token_store, "_frequent_pairs", lambda keys: looked.append(len(keys)) or count(keys))
+    ids = np.random.default_rng(3).zipf(1.3, 200_000).clip(max=9_000).astype("<u4")
+    assert (token_store.Shard(token_store.pack_payload(ids)).all_ids() == ids).all()
+    assert looked[0] == len(ids) - 1 and sum(looked) < 2 * len(ids)
