@@ -187,6 +187,44 @@ def test_remaining_steps_are_those_of_the_plan(spark):
     assert got == {"a": {s: v for s, v in plan.items() if s > 3}, "b": plan}
 
 
+def test_remaining_steps_of_packed_runs(spark, monkeypatch):
+    for name, value in (("_PACK_RUNS", 4), ("_PACK_STEPS", 16), ("_PACKS", 8), ("_STEP_BLOCK", 8)):
+        monkeypatch.setattr(steps, name, value)
+    totals = {"pretrain": (20, 50), "instruct": (7, 33), "none": (1, 1)}
+    summary = spark.createDataFrame(
+        [(p, e, t, "ok" if p != "none" else "no_step") for p, (e, t) in totals.items()],
+        "phase STRING, per_epoch BIGINT, total_steps BIGINT, status STRING",
+    )
+    rng = random.Random(3)
+    rows = [(f"run-{i}", rng.choice(["pretrain", "instruct", "none"]), rng.randrange(60)) for i in range(300)]
+    rows += [("twice", "pretrain", 31)] * 2 + [("twice", "instruct", 5), (None, "pretrain", 15), ("gone", None, 1), ("x", "instruct", None)]
+    states = spark.createDataFrame(rows, "owner STRING, phase STRING, global_step BIGINT")
+    wanted = Counter(
+        (owner, phase, s, (s - 1) // totals[phase][0], (s - 1) % totals[phase][0] * 2, (s - 1) % totals[phase][0] * 2 + 1)
+        for owner, phase, done in rows
+        if phase in ("pretrain", "instruct") and done is not None
+        for s in range(done + 1, totals[phase][1] + 1)
+    )
+    left = steps.remaining_steps(summary, states, Settings(accumulation=2))
+    assert Counter(tuple(r) for r in left.collect()) == wanted
+    assert steps.remaining_steps(summary, states.limit(0), Settings(accumulation=2)).count() == 0
+
+
+def test_remaining_steps_take_little_space(spark, tmp_path):
+    """Runs times steps are many rows: a file of them holds them in a fraction of a byte each."""
+    summary = spark.createDataFrame(
+        [("pretrain", 4_000, 10_000, "ok")], "phase STRING, per_epoch BIGINT, total_steps BIGINT, status STRING"
+    )
+    states = spark.range(1_024).select(
+        F.concat(F.lit("run-"), "id").alias("owner"), F.lit("pretrain").alias("phase"), (F.col("id") % 22).alias("global_step")
+    )
+    steps.remaining_steps(summary, states).write.parquet(str(tmp_path / "left"))
+    rows = spark.read.parquet(str(tmp_path / "left")).count()
+    assert rows == sum(10_000 - i % 22 for i in range(1_024))
+    size = sum(p.stat().st_size for p in (tmp_path / "left").glob("*.parquet"))
+    assert size < 0.75 * rows, size / rows
+
+
 def test_collate_carries_columns_and_keeps_rows_together(spark):
     encoded = spark.createDataFrame([(i, [i], "p") for i in range(40)], "k BIGINT, ids ARRAY<INT>, phase STRING")
     plan = spark.createDataFrame(
