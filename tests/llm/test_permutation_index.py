@@ -148,3 +148,19 @@ def test_a_repeated_query_id_asks_with_its_smallest_vector(spark):
     assert [(r["rank"], r["vec_id"], r["score"]) for r in sorted(found, key=lambda r: r["rank"])] == [
         (1, 1, 1.0), (2, 2, float(np.sqrt(65.0))),
     ]
+
+
+def test_the_driver_gets_the_sample_only(spark, monkeypatch):
+    """Also where all rows share an id: the tasks' own best rows, as many from each, go to a task."""
+    frame = vectors(spark, [(100, [float(i), 1.0]) for i in range(400)]).repartition(8)
+    monkeypatch.setattr(permutation_index, "PIVOT_SAMPLE", 20)
+    plans, collect = [], type(frame).collect
+
+    def noted(self):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return collect(self)
+
+    monkeypatch.setattr(type(frame), "collect", noted)
+    permutation_index.nearest(frame, F.col("vec_id") % 100 == 0)
+    sampled = [plan for plan in plans if "TakeOrderedAndProject" in plan]
+    assert len(sampled) == 1 and "Coalesce 1" in sampled[0].split("TakeOrderedAndProject")[0]
